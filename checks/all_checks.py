@@ -1,4 +1,12 @@
 """Imports every module that registers queries."""
 
-from checks import function_checks  # noqa: F401
+from checks import (  # noqa: F401
+    audit_checks,
+    catalogue_checks,
+    coverage_checks,
+    function_checks,
+    lineage_checks,
+    log_checks,
+    workset_checks,
+)
 from checks.registry import ORACLES, QUERIES  # noqa: F401

@@ -82,7 +82,7 @@ FROM v_product p""",
 UNION ALL
 SELECT CAST((instrument_id + 1) % 25 AS BIGINT), product_id FROM v_product WHERE product_id % 10 = 3""",
     "v_inspector": """SELECT product_id AS inspector_id, product_id AS product, product_id % 6 <> 5 AS active_code, TRUE AS newest_version,
-  CONCAT('look_', product_name, '.py') AS filename, 'inspectors' AS relative_path, CONCAT('kind=', product_name, ' deep=yes') AS arguments
+  CONCAT('look_', product_name, '.py') AS filename, 'inspectors' AS relative_path, CONCAT('looks at ', product_name) AS description, CONCAT('kind=', product_name, ' deep=yes') AS arguments
 FROM v_product""",
     "v_process_full": """SELECT process_id, output_product, output_timebase, CONCAT('make_', CAST(process_id AS STRING)) AS process_name,
   CASE WHEN process_id % 4 = 1 THEN '-d|{DATE}|{ROOTDIR}/aux|{CODEVERSION}' END AS extra_params
