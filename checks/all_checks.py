@@ -5,6 +5,7 @@ from checks import (  # noqa: F401
     catalogue_checks,
     coverage_checks,
     function_checks,
+    ingest_checks,
     lineage_checks,
     log_checks,
     workset_checks,

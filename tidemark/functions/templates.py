@@ -101,23 +101,15 @@ def to_pattern(template: Column, known: dict[str, Column] | None = None) -> Colu
     return out
 
 
-def literal_prefix(pattern_source: Column) -> Column:
-    """The leading text of a template that every matching name must start with.
+def literal_prefix(template: Column) -> Column:
+    """The leading text of a template, names filled in, that every match must start with.
 
-    It ends before the first character that could be expression syntax; when
-    the first such character makes the one before it optional, that one is
-    not part of the prefix either.
+    It ends before the first field or expression character; a character made
+    optional by the one after it is left out.  A template with a choice in
+    its own text has no sure start.
     """
-    plain = r"^([A-Za-z0-9_/ -]*)"
-    prefix = F.regexp_extract(pattern_source, plain, 1)
-    following = F.substring(pattern_source, F.length(prefix) + 1, 1)
-    shortened = F.substring(prefix, F.lit(1), F.greatest(F.length(prefix) - 1, F.lit(0)))
-    has_choice = pattern_source.contains("|")
-    return (
-        F.when(has_choice, F.lit(""))
-        .when(following.isin("*", "?", "+"), shortened)
-        .otherwise(prefix)
-    )
+    plain = r"^([A-Za-z0-9_/ -]*)(?![*?+])"
+    return F.when(template.contains("|"), F.lit("")).otherwise(F.regexp_extract(template, plain, 1))
 
 
 def substitute_path(

@@ -196,8 +196,11 @@ TABLES: dict[str, Table] = {
 }
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Give `df` the table's columns in order, filling absent ones by default or null."""
+def conform(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Give `df` the table's columns in order, filling absent ones by default or null.
+
+    Columns named in `keep` stay behind them where `df` has them.
+    """
     spec = TABLES[table]
     columns = []
     for f in spec.schema.fields:
@@ -208,7 +211,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         else:
             value = F.lit(spec.defaults.get(f.name))
         columns.append(value.cast(f.dataType).alias(f.name))
-    return df.select(*columns)
+    return df.select(*columns, *[c for c in keep if c in df.columns])
 
 
 class Catalogue:

@@ -118,11 +118,19 @@ def in_time_range(
 
 
 def in_date_range(files: DataFrame, start_date=None, end_date=None) -> DataFrame:
-    """Files with a file date in the closed range; either side may be open."""
+    """Files with a file date in the closed range; either side may be open.
+
+    A table stored by month (`file_month`) is pruned to the months in range.
+    """
+    by_month = "file_month" in files.columns
     if start_date is not None:
         files = files.where(F.col("utc_file_date") >= _day(start_date))
+        if by_month:
+            files = files.where(F.col("file_month") >= F.date_format(_day(start_date), "yyyy-MM"))
     if end_date is not None:
         files = files.where(F.col("utc_file_date") <= _day(end_date))
+        if by_month:
+            files = files.where(F.col("file_month") <= F.date_format(_day(end_date), "yyyy-MM"))
     return files
 
 

@@ -5,49 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.templates import literal_prefix, to_pattern
+from tidemark.functions.templates import fill, literal_prefix, to_pattern
 from tidemark.functions.text import basename, join_path
 
+_SCHEME = r"^[a-zA-Z0-9+.-]+:(//[^/]*(?=/))?"
+
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def content_digest(content: Column) -> Column:
     """SHA-1 of a file's bytes as 40 hex digits."""
     return F.sha1(content.cast("binary"))
 
 
+def listing_columns(folder: str, content: bool = False) -> list[Column]:
+    """Columns of a listing row, made from what a binary file read gives."""
+    path = F.regexp_replace("path", _SCHEME, "")
+    root = F.lit(folder.split("://", 1)[-1].rstrip("/") + "/")
+    columns = [
+        path.alias("path"),
+        basename(path).alias("filename"),
+        F.when(path.startswith(root), path.substr(F.length(root) + 1, F.length(path))).alias("relative_path"),
+        F.col("length"),
+        F.col("modificationTime").cast("timestamp_ntz").alias("modified"),
+    ]
+    return columns + ([F.col("content")] if content else [])
+
+
 def list_folder(
     spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False, content: bool = False
 ) -> DataFrame:
-    """Files under a folder, one row per path, ordered work left to the caller.
+    """Files of a folder, or of its whole tree, each path once.
 
-    Without `content` Spark prunes the column and reads no file bytes.  Paths
-    are relative to `folder` in `relative_path`.
+    Without `content` the column is pruned and no file is opened.
+    `relative_path` is the path below `folder`.
     """
     reader = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", str(recursive).lower())
     )
-    root = folder.rstrip("/")
-    plain = F.regexp_replace("path", "^[a-zA-Z0-9]+:(//[^/]*(?=/))?", "")
-    bare_root = root.split("://", 1)[-1]
-    columns = [
-        plain.alias("path"),
-        basename(plain).alias("filename"),
-        F.expr(f"substring({_sql(plain, 'path')}, {len(bare_root) + 2})").alias("relative_path"),
-        F.col("length"),
-        F.col("modificationTime").cast("timestamp_ntz").alias("modified"),
-    ]
-    if content:
-        columns.append(F.col("content"))
-    return reader.load(root).select(*columns).dropDuplicates(["path"])
-
-
-def _sql(_: Column, name: str) -> str:
-    return f"regexp_replace({name}, '^[a-zA-Z0-9]+:(//[^/]*(?=/))?', '')"
+    return reader.load(folder).select(*listing_columns(folder, content)).dropDuplicates(["path"])
 
 
 def incoming(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Names waiting in the incoming folder, by path, each once."""
+    """Files waiting in the incoming folder in path order."""
     return list_folder(spark, folder, glob).orderBy("path")
 
 
@@ -56,11 +58,10 @@ def with_digest(listing: DataFrame) -> DataFrame:
     return listing.withColumn("shasum", content_digest(F.col("content"))).drop("content")
 
 
-def product_patterns(product_trace: DataFrame) -> DataFrame:
-    """Whole-path pattern of every product, its names filled in.
+def path_patterns(product_trace: DataFrame) -> DataFrame:
+    """Pattern of the relative path of every product's files, its names filled in.
 
-    `product_trace` is the output of
-    :func:`tidemark.operators.trace.trace_products`.
+    `product_trace` is the output of :func:`tidemark.operators.trace.trace_products`.
     """
     names = {
         "INSTRUMENT": F.col("instrument_name"),
@@ -69,15 +70,16 @@ def product_patterns(product_trace: DataFrame) -> DataFrame:
         "SATELLITE": F.col("satellite_name"),
         "SPACECRAFT": F.col("satellite_name"),
     }
-    whole = join_path(F.col("relative_path"), F.col("format"))
-    pattern = to_pattern(whole, names)
-    return product_trace.select(
-        "product_id", pattern.alias("pattern"), literal_prefix(pattern).alias("prefix")
-    ).distinct()
+    filled = fill(join_path(F.col("relative_path"), F.col("format")), names)
+    return product_trace.select("product_id", filled.alias("_filled")).distinct().select(
+        "product_id",
+        to_pattern(F.col("_filled")).alias("pattern"),
+        literal_prefix(F.col("_filled")).alias("prefix"),
+    )
 
 
-def match_products(listing: DataFrame, patterns: DataFrame) -> DataFrame:
+def product_files(listing: DataFrame, patterns: DataFrame) -> DataFrame:
     """(product, path) pairs whose relative path starts like the product's pattern."""
     from tidemark.operators.ingest import match_patterns
 
-    return match_patterns(listing, "relative_path", patterns, anchored_end=False)
+    return match_patterns(listing, "relative_path", patterns, whole=False)
