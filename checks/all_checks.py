@@ -8,6 +8,7 @@ from checks import (  # noqa: F401
     ingest_checks,
     lineage_checks,
     log_checks,
+    plan_checks,
     workset_checks,
 )
 from checks.registry import ORACLES, QUERIES  # noqa: F401

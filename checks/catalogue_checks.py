@@ -388,7 +388,7 @@ def _(t):
 
 _CHAIN = """
   JOIN v_inspector i ON i.product = p.product_id JOIN v_instrumentproductlink l ON l.product_id = p.product_id
-  JOIN nation n ON n.n_nationkey = l.instrument_id JOIN region r ON r.r_regionkey = n.n_regionkey JOIN v_mission m ON TRUE
+  JOIN nation n ON n.n_nationkey = l.instrument_id JOIN region r ON r.r_regionkey = n.n_regionkey JOIN v_mission m ON m.mission_id = r.r_regionkey % 2
 """
 
 
@@ -449,7 +449,7 @@ def _(t):
 @query(
     "join01_satellite_mission",
     """
-    SELECT CAST(r_regionkey AS BIGINT) AS satellite_id, r_name AS satellite_name, CAST(1 AS BIGINT) AS mission_id, 'survey' AS mission_name FROM region
+    SELECT CAST(r_regionkey AS BIGINT) AS satellite_id, r_name AS satellite_name, CAST(r_regionkey % 2 AS BIGINT) AS mission_id, concat('survey', r_regionkey % 2) AS mission_name FROM region
     """,
 )
 def _(t):

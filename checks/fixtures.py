@@ -68,8 +68,8 @@ FROM events WHERE user_id % 4 > 0""",
     WHEN 'view' THEN CONCAT('moveToError /inc/f', CAST(event_id AS STRING), '.dat moved to /err')
     ELSE 'noise' END) AS value
 FROM events""",
-    "v_satellite": """SELECT CAST(r_regionkey AS BIGINT) AS satellite_id, r_name AS satellite_name, CAST(1 AS BIGINT) AS mission_id FROM region""",
-    "v_mission": """SELECT DISTINCT CAST(1 AS BIGINT) AS mission_id, 'survey' AS mission_name, '/data' AS rootdir, 'incoming' AS incoming_dir FROM region""",
+    "v_satellite": """SELECT CAST(r_regionkey AS BIGINT) AS satellite_id, r_name AS satellite_name, CAST(r_regionkey % 2 AS BIGINT) AS mission_id FROM region""",
+    "v_mission": """SELECT DISTINCT CAST(r_regionkey % 2 AS BIGINT) AS mission_id, CONCAT('survey', CAST(r_regionkey % 2 AS STRING)) AS mission_name, '/data' AS rootdir, 'incoming' AS incoming_dir FROM region""",
     "v_instrument": """SELECT CAST(n_nationkey AS BIGINT) AS instrument_id, n_name AS instrument_name, CAST(n_regionkey AS BIGINT) AS satellite_id FROM nation""",
     "v_product_full": """SELECT p.product_id, p.product_name, CAST(p.instrument_id AS BIGINT) AS instrument_id, p.level,
   CASE WHEN p.product_id % 3 = 0 THEN '{SATELLITE}/{INSTRUMENT}/{PRODUCT}/{Y}/{m}'
@@ -106,6 +106,15 @@ FROM v_file WHERE quality_version <> 4 OR exists_on_disk""",
 WHERE (source_file + resulting_file) % 10 <> 4""",
     "v_queue_bumped": """SELECT event_id AS file_id, CASE WHEN event_type = 'error' THEN 1 END AS version_bump FROM events
 WHERE event_type IN ('error', 'purchase', 'signup')""",
+    # Files under the names the planner gives: one per product, day and version.
+    "v_file_plan": """SELECT file_id, CONCAT('p', CAST(product_id AS STRING), '_', REPLACE(CAST(utc_file_date AS STRING), '-', ''), '_v',
+    CAST(interface_version AS STRING), '.', CAST(quality_version AS STRING), '.', CAST(revision_version AS STRING), '.dat') AS filename,
+  utc_file_date, utc_start_time, utc_stop_time, data_level, interface_version, quality_version, revision_version, exists_on_disk, product_id, process_keywords
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, utc_file_date, interface_version, quality_version, revision_version ORDER BY file_id DESC) AS rk FROM v_file) ranked
+WHERE rk = 1""",
+    "v_product_plan": """SELECT product_id, product_name, CAST(instrument_id AS BIGINT) AS instrument_id, level, CONCAT('set', CAST(product_id % 4 AS STRING), '/{Y}') AS relative_path,
+  '{PRODUCT}_{Y}{m}{d}_v{VERSION}.dat' AS format FROM v_product""",
+    "v_link_plan": """SELECT CAST(instrument_id AS BIGINT) AS instrument_id, product_id FROM v_product""",
 }
 
 _NAME = re.compile(r"\b(v_[a-z_]+)\b")

@@ -34,19 +34,22 @@ def query(name: str, sql: str | None = None):
 
 def catalogue(inputs: Inputs) -> Catalogue:
     """The reshaped catalogue with every table the queries use."""
-    return Catalogue(
-        mission=inputs.mission,
-        satellite=inputs.satellite,
-        instrument=inputs.instrument,
-        product=inputs.product_full,
-        instrumentproductlink=inputs.instrumentproductlink,
-        process=inputs.process_full,
-        productprocesslink=inputs.productprocesslink,
-        file=inputs.file,
-        code=inputs.code_full,
-        inspector=inputs.inspector,
-        filefilelink=inputs.filefilelink,
-        filecodelink=inputs.filecodelink,
-        processqueue=inputs.processqueue,
-        release=inputs.release,
-    )
+    views = {
+        "mission": "mission",
+        "satellite": "satellite",
+        "instrument": "instrument",
+        "product": "product_full",
+        "instrumentproductlink": "instrumentproductlink",
+        "process": "process_full",
+        "productprocesslink": "productprocesslink",
+        "file": "file",
+        "code": "code_full",
+        "inspector": "inspector",
+        "filefilelink": "filefilelink",
+        "filecodelink": "filecodelink",
+        "processqueue": "processqueue",
+        "release": "release",
+    }
+    return Catalogue(**{
+        table: (lambda view=view: getattr(inputs, view)) for table, view in views.items()
+    })

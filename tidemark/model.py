@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -215,19 +216,24 @@ def conform(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 class Catalogue:
-    """A named set of table DataFrames; attribute access returns one table."""
+    """A named set of table DataFrames; attribute access returns one table.
 
-    def __init__(self, **tables: DataFrame):
+    A table may be given as a function, which is called at its first use.
+    """
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]):
         unknown = sorted(set(tables) - set(TABLES))
         if unknown:
             raise ValueError(f"not catalogue tables: {', '.join(unknown)}")
         self.tables = dict(tables)
 
     def __getattr__(self, name: str) -> DataFrame:
-        try:
-            return self.__dict__["tables"][name]
-        except KeyError:
-            raise AttributeError(f"catalogue has no table {name!r}") from None
+        tables = self.__dict__.get("tables", {})
+        if name not in tables:
+            raise AttributeError(f"catalogue has no table {name!r}")
+        if not isinstance(tables[name], DataFrame):
+            tables[name] = tables[name]()
+        return tables[name]
 
     def __contains__(self, name: str) -> bool:
         return name in self.tables
