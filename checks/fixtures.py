@@ -106,12 +106,13 @@ FROM v_file WHERE quality_version <> 4 OR exists_on_disk""",
 WHERE (source_file + resulting_file) % 10 <> 4""",
     "v_queue_bumped": """SELECT event_id AS file_id, CASE WHEN event_type = 'error' THEN 1 END AS version_bump FROM events
 WHERE event_type IN ('error', 'purchase', 'signup')""",
-    # Files under the names the planner gives: one per product, day and version.
-    "v_file_plan": """SELECT file_id, CONCAT('p', CAST(product_id AS STRING), '_', REPLACE(CAST(utc_file_date AS STRING), '-', ''), '_v',
-    CAST(interface_version AS STRING), '.', CAST(quality_version AS STRING), '.', CAST(revision_version AS STRING), '.dat') AS filename,
+    # Files under the names the planner gives; versions of a product and day follow each other.
+    "v_file_plan": """SELECT file_id, CONCAT('p', CAST(product_id AS STRING), '_', REPLACE(CAST(utc_file_date AS STRING), '-', ''), '_v1.',
+    CAST(quality_version AS STRING), '.', CAST(revision_version AS STRING), '.dat') AS filename,
   utc_file_date, utc_start_time, utc_stop_time, data_level, interface_version, quality_version, revision_version, exists_on_disk, product_id, process_keywords
-FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, utc_file_date, interface_version, quality_version, revision_version ORDER BY file_id DESC) AS rk FROM v_file) ranked
-WHERE rk = 1""",
+FROM (SELECT file_id, utc_file_date, utc_start_time, utc_stop_time, data_level, 1 AS interface_version, CAST(FLOOR(n / 2) AS INT) AS quality_version,
+    CAST(n % 2 AS INT) AS revision_version, exists_on_disk, product_id, process_keywords
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id, utc_file_date ORDER BY file_id) - 1 AS n FROM v_file) numbered) versioned""",
     "v_product_plan": """SELECT product_id, product_name, CAST(instrument_id AS BIGINT) AS instrument_id, level, CONCAT('set', CAST(product_id % 4 AS STRING), '/{Y}') AS relative_path,
   '{PRODUCT}_{Y}{m}{d}_v{VERSION}.dat' AS format FROM v_product""",
     "v_link_plan": """SELECT CAST(instrument_id AS BIGINT) AS instrument_id, product_id FROM v_product""",
