@@ -4,6 +4,7 @@ from checks import (  # noqa: F401
     audit_checks,
     catalogue_checks,
     coverage_checks,
+    derive_checks,
     function_checks,
     ingest_checks,
     lineage_checks,
