@@ -6,17 +6,22 @@ from checks.registry import catalogue, query
 from tidemark.operators.catalogue import full_paths
 from tidemark.operators.trace import trace_products
 from tidemark.plans import reprocess
+from tidemark.session import durable
 
 _RANK = """row_number() OVER (PARTITION BY product_id, utc_file_date
   ORDER BY interface_version DESC, quality_version DESC, revision_version DESC, file_id DESC)"""
 
 
 def plan_catalogue(t):
-    c = catalogue(t)
-    return c.replace(
-        file=lambda: t.file_plan, product=lambda: t.product_plan, instrumentproductlink=lambda: t.link_plan,
-        inspector=lambda: t.inspector,
-    )
+    """The catalogue to plan over, its tables written once as a catalogue's tables are."""
+    views = {
+        "file": "file_plan", "product": "product_plan", "instrumentproductlink": "link_plan",
+        "inspector": "inspector", "process": "process_full", "code": "code_full",
+        "productprocesslink": "productprocesslink",
+    }
+    return catalogue(t).replace(**{
+        table: (lambda view=view: durable(getattr(t, view))) for table, view in views.items()
+    })
 
 
 def _queue(t):
@@ -179,7 +184,9 @@ def _(t):
 @query("plan05_code_of_cell", f"WITH {CODED} SELECT process_id, day, keywords, code_id, reason FROM plan2")
 def _(t):
     c = plan_catalogue(t)
-    plan = reprocess.with_code(c, reprocess.required_inputs(c, reprocess.affected(c, _queue(t))))
+    cells = reprocess.affected(c, _queue(t))
+    dated = cells.select("process_id", "day").distinct()
+    plan = reprocess.with_code(c, reprocess.required_inputs(c, cells), dated)
     return plan.select("process_id", "day", "keywords", "code_id", "reason")
 
 
@@ -192,7 +199,9 @@ def _(t):
 )
 def _(t):
     c = plan_catalogue(t)
-    plan = reprocess.with_code(c, reprocess.required_inputs(c, reprocess.affected(c, _queue(t))))
+    cells = reprocess.affected(c, _queue(t))
+    dated = cells.select("process_id", "day").distinct()
+    plan = reprocess.with_code(c, reprocess.required_inputs(c, cells), dated)
     return reprocess.with_output(c, plan).select("process_id", "day", "keywords", "name_template", "data_level")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.model import Catalogue
 from tidemark.operators import skew
-from tidemark.session import durable
+from tidemark.session import durable, durable_partitioned
 
 # So many per-round tables are kept side by side before they are merged.
 _ROUNDS_APART = 8
@@ -47,7 +47,7 @@ def reach(seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS) ->
     degree = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_edges)
     hot = durable(degree.select("node", F.ceil(F.col("_n") / hot_edges).cast("int").alias("_shares")))
     share = F.coalesce(F.pmod(F.xxhash64("next"), F.col("_shares")), F.lit(0)).cast("int")
-    spread = durable(
+    spread = durable_partitioned(
         edges.join(F.broadcast(hot), "node", "left")
         .select("node", "next", share.alias("_share"))
         .repartition(partitions, "node", "_share")

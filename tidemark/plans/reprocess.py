@@ -185,9 +185,12 @@ def required_inputs(catalogue: Catalogue, cells: DataFrame) -> DataFrame:
 # -- code and output --------------------------------------------------------
 
 
-def with_code(catalogue: Catalogue, plan: DataFrame) -> DataFrame:
-    """Add the code valid for the process on the day; none or several is a reason not to run."""
-    dated = plan.select("process_id", "day").distinct()
+def with_code(catalogue: Catalogue, plan: DataFrame, dated: DataFrame) -> DataFrame:
+    """Add the code valid for the process on the day; none or several is a reason not to run.
+
+    `dated` has the distinct (process_id, day) pairs of the plan, and may
+    have more.  Taken from the cells, they spare a second run of the inputs.
+    """
     code = code_for_process(dated, catalogue.code)
     facts = catalogue.code.select("code_id", "output_interface_version", version_of().alias("code_version"))
     reason = F.coalesce(
@@ -209,11 +212,15 @@ def with_output(catalogue: Catalogue, plan: DataFrame) -> DataFrame:
     keywords leave them open.  A RUN process makes no file and is named after
     itself and its lowest input.
     """
-    trace = trace_products(catalogue, inspectors=True)
-    single = trace.groupBy("product_id").agg(F.count(F.lit(1)).alias("_chains"))
-    product = trace.join(single.where("_chains = 1"), "product_id", "left_semi").select(
-        F.col("product_id").alias("output_product"), F.col("level").alias("data_level"), "format",
-        "product_name", "instrument_name", "satellite_name",
+    # One trace-back per product, or the product is left out.
+    facts = ["level", "format", "product_name", "instrument_name", "satellite_name"]
+    product = (
+        trace_products(catalogue, inspectors=True)
+        .groupBy(F.col("product_id").alias("output_product"))
+        .agg(F.count(F.lit(1)).alias("_chains"), *[F.any_value(c).alias(c) for c in facts])
+        .where("_chains = 1")
+        .withColumnRenamed("level", "data_level")
+        .drop("_chains")
     )
     process = catalogue.process.select("process_id", "process_name", "output_product")
     rows = plan.join(process, "process_id").join(product, "output_product", "left")
@@ -522,8 +529,9 @@ def plan_changes(
     neighbours: bool = False,
 ) -> DataFrame:
     """Everything the queued files make necessary, one row per cell with its outcome."""
-    cells = affected(catalogue, queue, skip_run, only, neighbours)
-    plan = with_code(catalogue, required_inputs(catalogue, cells))
+    cells = durable(affected(catalogue, queue, skip_run, only, neighbours))
+    dated = cells.select("process_id", "day").distinct()
+    plan = with_code(catalogue, required_inputs(catalogue, cells), dated)
     return with_version(catalogue, with_output(catalogue, plan))
 
 
@@ -569,7 +577,9 @@ def plan_range(
         raise ValueError("give update or a version bump, not both")
     rows = range_inputs(catalogue, processes, first, last).withColumn(
         "version_bump", F.lit(version_bump).cast("smallint"))
-    plan = with_output(catalogue, with_code(catalogue, rows))
+    days = F.explode(days_between(F.lit(first), F.lit(last)))
+    dated = processes.select("process_id").distinct().withColumn("day", days)
+    plan = with_output(catalogue, with_code(catalogue, rows, dated))
     out = with_version(catalogue, plan, force=version_bump is None and not update)
     return out.where("runnable") if update else out
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,22 +28,36 @@ def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared checkpoint folder and forget its lineage.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``, so a
-    lost executor costs a re-read, not a re-run of every earlier round.  Only
-    a local session without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(
-                    "spark.checkpoint.dir must name a folder that all executors share"
-                )
-            folder = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Write `df` to a table in the shared checkpoint folder and go on from the table.
+
+    A lost executor then costs a re-read, not a re-run of every earlier step.
+    Later steps read only the columns and rows they need, and their joins are
+    planned from the table's real size.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def durable_partitioned(df: DataFrame) -> DataFrame:
+    """Checkpoint `df` with its partitioning kept, so that joins on it need no new shuffle."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
