@@ -42,6 +42,17 @@ def _planned_runs(t):
     return runs, c.file, contents
 
 
+def _join_unless_many():
+    """User code made in place, so that it travels to the workers by value."""
+
+    def work(inputs, arguments, name):
+        if len(inputs) > 3:
+            raise ValueError(f"{len(inputs)} inputs")
+        return "\n".join(inputs["content"])
+
+    return work
+
+
 _RESULTS = f"""
   WITH {WALKED}, g AS (SELECT r.filename, count(*) AS n, string_agg(concat(f.filename, ' ', f.process_keywords), chr(10) ORDER BY f.filename) AS content
     FROM runs r, unnest(string_split(r.inputs, ',')) AS u(id) JOIN v_file_plan f ON f.file_id = CAST(u.id AS BIGINT) GROUP BY 1),
@@ -50,22 +61,16 @@ _RESULTS = f"""
 """
 
 
-def _join_unless_many(inputs, arguments, name):
-    if len(inputs) > 3:
-        raise ValueError(f"{len(inputs)} inputs")
-    return "\n".join(inputs["content"])
-
-
 @query("derive01_user_code", _RESULTS + "SELECT * FROM res")
 def _(t):
     runs, files, contents = _planned_runs(t)
-    return derive.run_code(runs, files, contents, _join_unless_many).drop("content")
+    return derive.run_code(runs, files, contents, _join_unless_many()).drop("content")
 
 
 @query("derive06_status_counts", _RESULTS + "SELECT status, count(*) AS runs FROM res GROUP BY 1")
 def _(t):
     runs, files, contents = _planned_runs(t)
-    return derive.status_counts(derive.run_code(runs, files, contents, _join_unless_many))
+    return derive.status_counts(derive.run_code(runs, files, contents, _join_unless_many()))
 
 
 @query(

@@ -5,6 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import re
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from tidemark.model import TABLES, Catalogue
 
 
@@ -55,7 +58,8 @@ class Small:
                  yesterday=yesterday, tomorrow=tomorrow)
 
     def file(self, name: str, product: int, start=None, stop=None, exists=True, **values) -> int:
-        day = dt.datetime.strptime(re.search(r"\d{8}", name).group(), "%Y%m%d") if re.search(r"\d{8}", name) else None
+        digits = re.search(r"(?:19|20)\d{6}", name)
+        day = dt.datetime.strptime(digits.group(), "%Y%m%d") if digits else None
         version = re.search(r"_v(\d+)\.(\d+)\.(\d+)", name)
         parts = [int(x) for x in version.groups()] if version else [1, 0, 0]
         row = dict(
@@ -77,9 +81,9 @@ class Small:
         out = {}
         for table, spec in TABLES.items():
             schema = spec.schema
-            rows = [tuple(row.get(f.name, spec.defaults.get(f.name)) for f in schema.fields)
+            rows = [{f.name: row.get(f.name, spec.defaults.get(f.name)) for f in schema.fields}
                     for row in self.rows[table]]
-            out[table] = spark.createDataFrame(rows, schema)
+            out[table] = spark.createDataFrame(pa.Table.from_pylist(rows, to_arrow_schema(schema)))
         return Catalogue(**out)
 
 

@@ -38,7 +38,8 @@ def list_folder(
     """Files of a folder, or of its whole tree, each path once.
 
     Without `content` the column is pruned and no file is opened.
-    `relative_path` is the path below `folder`.
+    `relative_path` is the path below `folder`.  As in any Spark read, empty
+    files and names that start with ``_`` or ``.`` are not listed.
     """
     reader = (
         spark.read.format("binaryFile")
