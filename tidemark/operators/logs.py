@@ -5,13 +5,13 @@ A line reads ``YYYY-MM-DD HH:MM:SS,mmm - module:line - LEVEL - message``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import basename
 from tidemark.operators.catalogue import first_seen
 
-_LINE = r"^(\d{4}-\d\d-\d\d \d\d:\d\d:\d\d),(\d{3}) - (.*?):(\d+) - ([A-Z]+) - (.*)$"
+_LINE = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d,\d{3} - [^ ]*:\d+ - [A-Z]+ - "
 _INGESTED = r"^File (.*) entered in DB.*f_id=(\d*)$"
 # Two spellings of the same event, from older and newer writers.
 _COMMAND = r"^(?:running command: |Command: (?=.*starting))\s*(.*)$"
@@ -24,19 +24,18 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     Lines of another form, such as the rest of a stack trace, keep null parts.
     """
     value = F.rtrim(F.col("value"))
-    ok = value.rlike(_LINE)
-
-    def part(i: int) -> Column:
-        return F.when(ok, F.regexp_extract(value, _LINE, i))
-
-    stamp = F.concat(part(1), F.lit("."), part(2))
-    return lines.withColumns({
-        "ts": stamp.try_cast("timestamp_ntz"),
-        "module": part(3),
-        "line": part(4).cast("int"),
-        "level": part(5),
-        "message": part(6),
-    })
+    parts = F.when(value.rlike(_LINE), F.split(value, " - ", 4))
+    return (
+        lines.withColumn("_parts", parts)
+        .withColumns({
+            "ts": F.replace(F.col("_parts")[0], F.lit(","), F.lit(".")).try_cast("timestamp_ntz"),
+            "module": F.substring_index(F.col("_parts")[1], ":", 1),
+            "line": F.substring_index(F.col("_parts")[1], ":", -1).cast("int"),
+            "level": F.col("_parts")[2],
+            "message": F.col("_parts")[3],
+        })
+        .drop("_parts")
+    )
 
 
 def time_span(parsed: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -115,26 +114,36 @@ def run_time_summary(times: DataFrame) -> DataFrame:
     )
 
 
-def range_report(parsed: DataFrame, first, last, products: DataFrame | None = None) -> DataFrame:
+def range_report(parsed: DataFrame, first, last) -> DataFrame:
     """Everything of interest between the start of one day and 23:59:59 of another, in time order.
 
     A program counts at its first run in its log file, so one first run
     before the range is not listed again from the same file.
     """
-    kinds = {
-        "ingested": ingested(parsed, products).select("ts", F.col("filename").alias("what")),
-        "command": commands_run(parsed).select("ts", F.col("filename").alias("what")),
-        "moved": moved_to_error(parsed).select("ts", F.col("filename").alias("what")),
-        "error": errors(parsed).select("ts", F.concat_ws(" ", "codename", "error").alias("what")),
-    }
     start = F.lit(first).cast("date").cast("timestamp_ntz")
     stop = F.lit(last).cast("date").cast("timestamp_ntz") + F.expr("INTERVAL '86399' SECOND")
     second = F.date_trunc("second", F.col("ts"))
-    out = None
-    for kind, rows in kinds.items():
-        rows = rows.where((second >= start) & (second <= stop)).select(F.lit(kind).alias("kind"), "ts", "what")
-        out = rows if out is None else out.unionByName(rows)
-    return out.orderBy("ts", "kind", "what")
+    in_range = (second >= start) & (second <= stop)
+
+    # All kinds but the first runs come out of one pass over the lines.
+    info, message = F.col("level") == "INFO", F.col("message")
+    words = F.split(F.trim(message), r"\s+")
+    kind = (
+        F.when(F.col("level") == "ERROR", "error")
+        .when(info & message.rlike(_INGESTED), "ingested")
+        .when(info & message.startswith("moveToError"), "moved")
+    )
+    what = (
+        F.when(F.col("kind") == "error", F.concat(
+            "module", F.lit(":"), F.col("line").cast("string"), F.lit(" "), message))
+        .when(F.col("kind") == "ingested", F.regexp_extract(message, _INGESTED, 1))
+        .otherwise(basename(F.try_element_at(words, F.lit(-4))))
+    )
+    events = parsed.where(in_range).withColumn("kind", kind).where("kind IS NOT NULL").select(
+        "kind", "ts", what.alias("what"))
+    commands = commands_run(parsed).where(in_range).select(
+        F.lit("command").alias("kind"), "ts", F.col("filename").alias("what"))
+    return events.unionByName(commands).orderBy("ts", "kind", "what")
 
 
 def report_counts(report: DataFrame) -> DataFrame:
