@@ -48,12 +48,30 @@ def newest(files: DataFrame, keys: list[str] | None = None) -> DataFrame:
     )
 
 
+# Versions and id as one exact number: three 16-bit parts above a 64-bit id.
+_ID_RANGE = "CAST(18446744073709551616 AS DECIMAL(20,0))"
+_ID_OFFSET = "CAST(9223372036854775808 AS DECIMAL(20,0))"
+_PACKED_VERSION = (
+    "(CAST(CAST(interface_version AS SMALLINT) AS BIGINT) + 32768) * 4294967296"
+    " + (CAST(CAST(quality_version AS SMALLINT) AS BIGINT) + 32768) * 65536"
+    " + CAST(CAST(revision_version AS SMALLINT) AS BIGINT) + 32768"
+)
+
+
 def newest_ids(files: DataFrame) -> DataFrame:
-    """Ids of the files that are newest for their product and date."""
-    narrow = files.select(
-        "file_id", *CELL, "interface_version", "quality_version", "revision_version"
+    """Ids of the files that are newest for their product and date.
+
+    Version and id are ranked as one decimal, whose maximum Spark keeps in a
+    hash aggregate; a struct or a window would sort every input partition.
+    Version parts are small integers, so nothing is lost in the packing, and
+    a part out of that range raises an error.
+    """
+    packed = F.expr(
+        f"CAST({_PACKED_VERSION} AS DECIMAL(15,0)) * {_ID_RANGE}"
+        f" + (CAST(file_id AS DECIMAL(20,0)) + {_ID_OFFSET})"
     )
-    return newest(narrow).select("file_id")
+    tops = files.groupBy(*CELL).agg(F.max(packed).alias("_top"))
+    return tops.select(F.expr(f"CAST(_top % {_ID_RANGE} - {_ID_OFFSET} AS BIGINT)").alias("file_id"))
 
 
 def is_newest(files: DataFrame) -> DataFrame:
