@@ -386,6 +386,27 @@ def _(t):
     )
 
 
+@query(
+    "cat26_mission_listing",
+    """
+    SELECT DISTINCT CAST(r_regionkey % 2 AS BIGINT) AS mission_id, concat('survey', r_regionkey % 2) AS mission_name, '/data' AS rootdir, 'incoming' AS incoming_dir FROM region
+    """,
+)
+def _(t):
+    return cat.missions(catalogue(t))
+
+
+@query(
+    "cat12_provenance",
+    """
+    SELECT file_id, filename, concat('make -o ', filename) AS verbose_provenance FROM v_file WHERE data_level > 0.0
+    """,
+)
+def _(t):
+    made = F.when(F.col("data_level") > 0.0, F.concat(F.lit("make -o "), "filename"))
+    return cat.provenance(t.file.withColumn("verbose_provenance", made))
+
+
 _CHAIN = """
   JOIN v_inspector i ON i.product = p.product_id JOIN v_instrumentproductlink l ON l.product_id = p.product_id
   JOIN nation n ON n.n_nationkey = l.instrument_id JOIN region r ON r.r_regionkey = n.n_regionkey JOIN v_mission m ON m.mission_id = r.r_regionkey % 2

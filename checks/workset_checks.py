@@ -185,3 +185,43 @@ def _(t):
         .union(c.productprocesslink.select(F.lit("link"), "process_id", "input_product_id"))
         .union(new.select(F.lit("new link"), "process_id", "input_product_id"))
     )
+
+
+@query(
+    "tpl04_names_filled",
+    """
+    WITH l AS (SELECT product_id, min(instrument_id) AS instrument_id FROM v_instrumentproductlink GROUP BY 1)
+    SELECT p.product_id, CASE WHEN n.n_name IS NULL THEN p.product_description ELSE concat('files of ', p.product_name, ' from ', n.n_name) END AS product_description,
+      CASE p.product_id % 3 WHEN 0 THEN concat(coalesce(r.r_name, '{SATELLITE}'), '/', coalesce(n.n_name, '{INSTRUMENT}'), '/', CASE WHEN n.n_name IS NULL THEN '{PRODUCT}' ELSE p.product_name END, '/{Y}/{m}')
+        WHEN 1 THEN CASE WHEN n.n_name IS NULL THEN p.relative_path ELSE concat('l', CAST(p.level AS STRING), '/{DATE}/{H}') END ELSE 'flat' END AS relative_path
+    FROM v_product_full p LEFT JOIN l ON l.product_id = p.product_id LEFT JOIN nation n ON n.n_nationkey = l.instrument_id LEFT JOIN region r ON r.r_regionkey = n.n_regionkey
+    """,
+)
+def _(t):
+    c = catalogue(t)
+    link = c.instrumentproductlink.groupBy("product_id").agg(F.min("instrument_id").alias("instrument_id"))
+    c = c.replace(instrumentproductlink=link.select("instrument_id", "product_id"))
+    return edits.fill_names(c, "product", trace_products(c)).select("product_id", "product_description", "relative_path")
+
+
+@query(
+    "release02_full_paths",
+    """
+    SELECT f.file_id, concat('/data/set', f.product_id % 4, '/', strftime(f.utc_file_date, '%Y'), '/', f.filename) AS full_path
+    FROM v_release r JOIN v_file f USING (file_id) WHERE r.release_num = '1.0'
+    """,
+)
+def _(t):
+    c = catalogue(t).replace(product=t.product_plan, instrumentproductlink=t.link_plan)
+    return workset.list_release(c, "1.0", trace_products(c), "/data")
+
+
+@query(
+    "release01_add_files",
+    """
+    SELECT DISTINCT source_file AS file_id, '2.0' AS release_num FROM v_filefilelink WHERE source_file IN (SELECT file_id FROM v_file WHERE exists_on_disk)
+    """,
+)
+def _(t):
+    used = t.filefilelink.select(F.col("source_file").alias("file_id"))
+    return workset.add_to_release(t.file.where("exists_on_disk"), t.release, used, "2.0")

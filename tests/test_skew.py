@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.lineage import reach
 from tidemark.operators.skew import join_to_groups, number_rows
+from tidemark.session import durable, durable_partitioned
 
 
 def test_join_to_groups_splits_hot_and_null_keys(spark):
@@ -45,11 +46,23 @@ def test_reach_equals_brute_force_with_hot_nodes_and_cycles(spark):
     seeds = [3, 7]
     edge_df = spark.createDataFrame(sorted(edges), "node bigint, next bigint")
     seed_df = spark.createDataFrame([(s,) for s in seeds], "node bigint")
-    for hot in (5, 1000):
-        got = {r.node: r.depth for r in reach(seed_df, edge_df, hot_edges=hot).collect()}
+    for hot, small in ((5, 10_000), (1000, 10_000), (5, 0)):
+        got = {r.node: r.depth for r in reach(seed_df, edge_df, hot_edges=hot, small_graph=small).collect()}
         assert got == brute_reach(seeds, edges)
 
 
+def test_partitioned_edges_are_not_shuffled_again(spark):
+    edge_df = spark.range(1000).select((F.col("id") % 50).alias("node"), F.col("id"), F.col("id").alias("next"))
+    kept = durable_partitioned(edge_df.withColumn("_share", (F.col("id") % 3).cast("int")), 4, "node", "_share")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = durable(spark.range(20).select(F.col("id").alias("node"), F.lit(0).alias("_share"))).join(kept, ["node", "_share"])
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_reach_down_a_long_chain(spark):
     edge_df = spark.range(25).select(F.col("id").alias("node"), (F.col("id") + 1).alias("next"))
     seed = spark.createDataFrame([(0,)], "node bigint")

@@ -402,6 +402,16 @@ def products_by_instrument(catalogue: Catalogue, instrument: int) -> DataFrame:
     return catalogue.instrumentproductlink.where(F.col("instrument_id") == instrument).select("product_id")
 
 
+def missions(catalogue: Catalogue) -> DataFrame:
+    """Missions with their root and incoming folders."""
+    return catalogue.mission.select("mission_id", "mission_name", "rootdir", "incoming_dir").orderBy("mission_id")
+
+
+def provenance(files: DataFrame) -> DataFrame:
+    """Name and recorded command of every file that has one."""
+    return files.where("verbose_provenance IS NOT NULL").select("file_id", "filename", "verbose_provenance")
+
+
 def product_file_listing(
     catalogue: Catalogue, product: int, root: str, product_trace: DataFrame, start_date=None, end_date=None
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.templates import substitute_names
 from tidemark.functions.version import format_version, version_of
 from tidemark.model import Catalogue
 from tidemark.operators.catalogue import full_paths
@@ -97,6 +98,37 @@ def arguments_with_root(code: DataFrame, root: str) -> DataFrame:
     )
 
 
+# Text columns that may hold name fields, and the column that leads to the product.
+_NAMED = {
+    "product": ("product_id", ("product_name", "relative_path", "format", "product_description")),
+    "inspector": ("product", ("filename", "relative_path", "description", "arguments")),
+    "process": ("output_product", ("process_name", "extra_params")),
+    "file": ("product_id", ("filename", "verbose_provenance", "quality_comment", "process_keywords")),
+}
+
+
+def fill_names(catalogue: Catalogue, table: str, product_trace: DataFrame) -> DataFrame:
+    """A table with ``{PRODUCT}``, ``{INSTRUMENT}`` and the other name fields in its text filled in.
+
+    Rows whose product has no trace-back keep their text.  `product_trace`
+    needs one row per product.
+    """
+    column, texts = _NAMED[table]
+    rows = getattr(catalogue, table)
+    names = product_trace.select(
+        F.col("product_id").alias(column), F.col("product_name").alias("_product"), F.col("level").alias("_level"),
+        F.col("instrument_name").alias("_instrument"), F.col("satellite_name").alias("_satellite"),
+        F.col("mission_name").alias("_mission"), F.col("rootdir").alias("_rootdir"),
+    )
+    fields = {
+        "INSTRUMENT": F.col("_instrument"), "SATELLITE": F.col("_satellite"), "SPACECRAFT": F.col("_satellite"),
+        "MISSION": F.col("_mission"), "PRODUCT": F.col("_product"), "LEVEL": F.col("_level"),
+        "ROOTDIR": F.col("_rootdir"),
+    }
+    filled = {t: substitute_names(F.col(t), fields) for t in texts if t in rows.columns}
+    return rows.join(names, column, "left").withColumns(filled).select(*rows.columns)
+
+
 def move_product(
     catalogue: Catalogue, product: int, new_path: str, product_trace: DataFrame, root: str
 ) -> tuple[DataFrame, DataFrame]:

@@ -11,6 +11,9 @@ from tidemark.session import durable, durable_partitioned
 
 # So many per-round tables are kept side by side before they are merged.
 _ROUNDS_APART = 8
+# Graphs above this are partitioned by node once; smaller ones are shuffled or sent around each round.
+SMALL_GRAPH = 2_000_000
+_PARTITION_EDGES = 500_000
 
 
 def parents(links: DataFrame, files: DataFrame) -> DataFrame:
@@ -29,29 +32,30 @@ def children(links: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def reach(seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS) -> DataFrame:
+def reach(
+    seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS, small_graph: int = SMALL_GRAPH
+) -> DataFrame:
     """Every node reachable from the seeds, with the fewest steps to it.
 
     `seeds` has `node`; `edges` has `node` and `next`.  Seeds come back with
     depth 0.  Only nodes are kept, never (seed, node) pairs, so the work is
     linear in nodes and edges.
 
-    The edges are partitioned by node and written once; each round shuffles
-    its frontier to them.  A node with more than `hot_edges` edges is spread
+    The edges are written once, those of a large graph partitioned by node,
+    so that each round shuffles its frontier to them and not them.  A node with more than `hot_edges` edges is spread
     over several partitions (at most ``edges / hot_edges`` such nodes, which
     bounds the broadcast list) and its frontier row is repeated to match.
     Each round is materialised, so a lost executor repeats one round.
     """
-    spark = seeds.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     degree = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_edges)
     hot = durable(degree.select("node", F.ceil(F.col("_n") / hot_edges).cast("int").alias("_shares")))
     share = F.coalesce(F.pmod(F.xxhash64("next"), F.col("_shares")), F.lit(0)).cast("int")
-    spread = durable_partitioned(
-        edges.join(F.broadcast(hot), "node", "left")
-        .select("node", "next", share.alias("_share"))
-        .repartition(partitions, "node", "_share")
-    )
+    spread = edges.join(F.broadcast(hot), "node", "left").select("node", "next", share.alias("_share"))
+    n_edges = edges.count()
+    if n_edges <= small_graph:
+        spread = durable(spread)
+    else:
+        spread = durable_partitioned(spread, n_edges // _PARTITION_EDGES, "node", "_share")
     shares = F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))
 
     frontier = durable(seeds.select("node").distinct().withColumn("depth", F.lit(0)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import durable_partitioned
+from tidemark.session import durable_rows
 
 # A key with more rows than this is split over several tasks.
 HOT_ROWS = 1_000_000
@@ -73,7 +73,7 @@ def number_rows(df: DataFrame, order: list[str], name: str, start: int = 1) -> D
     summed up in one place; each row adds its position to its partition's
     offset.  The number depends on the order alone, so a rerun agrees.
     """
-    ordered = durable_partitioned(df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order))
+    ordered = durable_rows(df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order))
     placed = ordered.withColumn("_place", F.monotonically_increasing_id())
     partition = F.shiftright("_place", 33)
     placed = placed.withColumn("_partition", partition).withColumn(

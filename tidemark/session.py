@@ -57,7 +57,25 @@ def durable(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def durable_partitioned(df: DataFrame) -> DataFrame:
-    """Checkpoint `df` with its partitioning kept, so that joins on it need no new shuffle."""
+def durable_rows(df: DataFrame) -> DataFrame:
+    """Checkpoint `df` with the order of its rows and partitions kept."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def durable_partitioned(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """Checkpoint `df` partitioned by `keys`, so that joins on them shuffle the other side only.
+
+    An adaptive plan does not report its partitioning, so this one write is
+    planned without AQE; it is a single shuffle of a written table.  Spark
+    keeps a partitioning that is not coarser than its default number.
+    """
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = durable(df)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return durable_rows(table.repartition(max(least, partitions), *keys))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
