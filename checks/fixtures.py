@@ -61,7 +61,7 @@ SELECT CAST((event_id - event_id % 3) / 3 AS BIGINT), event_id FROM events WHERE
 FROM events WHERE user_id % 4 > 0""",
     "v_processqueue": """SELECT event_id AS file_id, CAST(NULL AS INT) AS version_bump FROM events WHERE event_id % 13 = 0""",
     "v_release": """SELECT event_id AS file_id, '1.0' AS release_num FROM events WHERE event_id % 97 = 0""",
-    "v_log": """SELECT CONCAT(CAST(DATE_TRUNC('second', ts) AS STRING), ',', LPAD(CAST(event_id % 1000 AS STRING), 3, '0'), ' - runMe:105 - ',
+    "v_log": """SELECT CONCAT(CAST(DATE_TRUNC('second', ts) AS STRING), ',', LPAD(CAST(event_id % 1000 AS STRING), 3, '0'), ' - runner:105 - ',
   CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'DEBUG' ELSE 'INFO' END, ' - ',
   CASE event_type WHEN 'click' THEN CONCAT('File p', CAST(user_id AS STRING), '.dat entered in DB, f_id=', CAST(event_id AS STRING))
     WHEN 'purchase' THEN CONCAT('Command: code_', CAST(user_id % 7 AS STRING), '.py took ', CAST(CAST(FLOOR(value) AS BIGINT) AS STRING), ' seconds')

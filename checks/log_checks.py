@@ -11,7 +11,7 @@ _PARSED = r"""
 """
 
 
-@query("log01_parse_lines", f"WITH {_PARSED} SELECT ts, 'runMe' AS module, 105 AS line, level, message FROM p")
+@query("log01_parse_lines", f"WITH {_PARSED} SELECT ts, 'runner' AS module, 105 AS line, level, message FROM p")
 def _(t):
     return logs.parse_lines(t.log).select("ts", "module", "line", "level", "message")
 
@@ -96,7 +96,7 @@ _REPORT = rf"""
   WITH {_PARSED}, a AS (
     SELECT 'ingested' AS kind, ts, regexp_extract(message, '^File (.*) entered', 1) AS what FROM p WHERE message LIKE 'File % entered in DB%'
     UNION ALL SELECT 'moved', ts, regexp_extract(message, '/inc/(\S+)', 1) FROM p WHERE message LIKE 'moveToError%'
-    UNION ALL SELECT 'error', ts, concat('runMe:105 ', message) FROM p WHERE level = 'ERROR'),
+    UNION ALL SELECT 'error', ts, concat('runner:105 ', message) FROM p WHERE level = 'ERROR'),
   r AS (SELECT * FROM a WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15')
 """
 

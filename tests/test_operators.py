@@ -186,9 +186,9 @@ def test_queue_rules(spark):
 
 def test_log_lines_of_other_forms(spark):
     lines = spark.createDataFrame([
-        ("2024-01-01 10:00:00,250 - runMe:253 - INFO - Command: make.py -i x starting",),
-        ("2024-01-01 10:00:01,000 - runMe:253 - INFO - running command: make.py -i y",),
-        ("2024-01-01 10:00:02,000 - runMe:105 - INFO - Command: make.py took 160.020385027 seconds",),
+        ("2024-01-01 10:00:00,250 - runner:253 - INFO - Command: make.py -i x starting",),
+        ("2024-01-01 10:00:01,000 - runner:253 - INFO - running command: make.py -i y",),
+        ("2024-01-01 10:00:02,000 - runner:105 - INFO - Command: make.py took 160.020385027 seconds",),
         ("  File \"x.py\", line 3, in y",),
         ("2024-01-01 10:00:03,000 - db:9 - ERROR - it - broke",),
     ], "value string")

@@ -25,17 +25,15 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     """
     value = F.rtrim(F.col("value"))
     parts = F.when(value.rlike(_LINE), F.split(value, " - ", 4))
-    return (
-        lines.withColumn("_parts", parts)
-        .withColumns({
-            "ts": F.replace(F.col("_parts")[0], F.lit(","), F.lit(".")).try_cast("timestamp_ntz"),
-            "module": F.substring_index(F.col("_parts")[1], ":", 1),
-            "line": F.substring_index(F.col("_parts")[1], ":", -1).cast("int"),
-            "level": F.col("_parts")[2],
-            "message": F.col("_parts")[3],
-        })
-        .drop("_parts")
+    row = F.struct(
+        F.replace(F.col("_parts")[0], F.lit(","), F.lit(".")).try_cast("timestamp_ntz").alias("ts"),
+        F.substring_index(F.col("_parts")[1], ":", 1).alias("module"),
+        F.substring_index(F.col("_parts")[1], ":", -1).cast("int").alias("line"),
+        F.col("_parts")[2].alias("level"),
+        F.col("_parts")[3].alias("message"),
     )
+    # A one-row generator: later filters stay above it, so a line is parsed once and not per condition.
+    return lines.withColumn("_parts", parts).select(*lines.columns, F.inline(F.array(row)))
 
 
 def time_span(parsed: DataFrame, by: list[str] | None = None) -> DataFrame:
