@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from tidemark.llm.bpe import op3_byte_bpe
+from tidemark.llm.embedding_dedup import OP4_SQL, op4_embedding_dedup
 from tidemark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from tidemark.llm.minhash import op8_minhash_dedup
 from tidemark.llm.mixing import op10_mix_sources
 from tidemark.llm.token_counts import op7_token_counts
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op7_token_counts": op7_token_counts,
+    "op8_minhash_dedup": op8_minhash_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
-ORACLES = {"op1_exact_dedup": OP1_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL}
