@@ -8,11 +8,13 @@ from tidemark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from tidemark.llm.minhash import op8_minhash_dedup
 from tidemark.llm.mixing import op10_mix_sources
 from tidemark.llm.token_counts import op7_token_counts
+from tidemark.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op10_mix_sources": op10_mix_sources,
