@@ -7,6 +7,7 @@ from tidemark.llm.embedding_dedup import OP4_SQL, op4_embedding_dedup
 from tidemark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from tidemark.llm.minhash import op8_minhash_dedup
 from tidemark.llm.mixing import op10_mix_sources
+from tidemark.llm.suffix_dedup import op9_suffix_dedup
 from tidemark.llm.token_counts import op7_token_counts
 from tidemark.llm.toxicity import op5_toxicity
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_dedup": op8_minhash_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
 ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL}
