@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.bpe import op3_byte_bpe
 from tidemark.llm.embedding_dedup import OP4_SQL, op4_embedding_dedup
 from tidemark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from tidemark.llm.language import op6_language_id
 from tidemark.llm.minhash import op8_minhash_dedup
 from tidemark.llm.mixing import op10_mix_sources
 from tidemark.llm.suffix_dedup import op9_suffix_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_language_id": op6_language_id,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
