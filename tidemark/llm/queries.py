@@ -8,12 +8,14 @@ from tidemark.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from tidemark.llm.language import op6_language_id
 from tidemark.llm.minhash import op8_minhash_dedup
 from tidemark.llm.mixing import op10_mix_sources
+from tidemark.llm.pii import op2_personal_data
 from tidemark.llm.suffix_dedup import op9_suffix_dedup
 from tidemark.llm.token_counts import op7_token_counts
 from tidemark.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_personal_data": op2_personal_data,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_toxicity": op5_toxicity,
