@@ -43,8 +43,8 @@ HELD = 300_000
 
 EMAIL_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 EMAIL_DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-# A match can only begin where a run of digits does, and its parts never give digits back.
-IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+# Numbers joined by dots, as many as there are; each four of them in turn are a match of the form.
+DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
@@ -65,6 +65,18 @@ def emails(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def addresses(numbers: str, at: int) -> list[tuple[int, int]]:
+    """Each four of the dotted `numbers` in turn, if none is over 255."""
+    parts, out = numbers.split("."), []
+    for i in range(0, len(parts), 4):
+        four = parts[i:i + 4]
+        end = at + sum(map(len, four)) + len(four) - 1
+        if len(four) == 4 and all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in four):
+            out.append((at, end))
+        at = end + 1
+    return out
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, d in enumerate(reversed(digits)):
@@ -80,9 +92,9 @@ def _digits(text: str) -> str:
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start and then kind; matches that fail a check are dropped."""
     out = [("email", a, b) for a, b in emails(text)]
-    for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
-            out.append(("ip", *m.span()))
+    for m in DOTTED.finditer(text):
+        if m[0].count(".") >= 3:
+            out += [("ip", a, b) for a, b in addresses(m[0], m.start())]
     for m in CARD.finditer(text):
         if m.end() - m.start() <= 37:  # 19 digits with a separator between any two
             digits = _digits(m[0])
@@ -203,8 +215,7 @@ def _document_counts(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFr
                 seen = set(TERM.findall(text or ""))
                 if len(looks) > HELD:
                     looks.clear()
-                for term in seen - looks.keys():
-                    looks[term] = shape_of(term)
+                looks.update({t: shape_of(t) for t in seen if t not in looks})
                 shapes.update({looks[t] for t in seen})
                 lower = {t.lower() for t in seen}
                 words.update(lower if chosen is None else lower & chosen)
