@@ -1,5 +1,7 @@
 """Rules, consistency reports and comparisons of two catalogues."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.catalogue_checks import NEWEST
@@ -156,6 +158,97 @@ def _(t):
     return audit.checksum_audit(listed, disk)
 
 
+def _files_of_documents(t):
+    """Write documents as files in a folder of the query's own: some empty, some with a leading bar, some left out."""
+    from tidemark.session import checkpoint_folder
+
+    folder = f"{checkpoint_folder(t.spark)}/listed/{uuid.uuid4().hex}".removeprefix("file://").removeprefix("file:")
+    name = F.concat(F.when(F.col("doc_id") % 5 == 0, "_").otherwise(""), F.lit("f"), "doc_id", F.lit(".txt"))
+    files = t.base("documents").select(
+        "doc_id", name.alias("filename"), F.concat(F.lit(f"{folder}/"), F.col("doc_id") % 10, F.lit("/"), name).alias("full_path"),
+        F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.coalesce("text", F.lit(""))).alias("text"))
+
+    def write(frames):
+        import os
+
+        for frame in frames:
+            for path, text in zip(frame["full_path"], frame["text"]):
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as file:
+                    file.write(text.encode())
+            yield frame[["doc_id"]]
+
+    written = files.where("doc_id % 11 <> 3").mapInPandas(write, "doc_id bigint")
+    written.agg(F.count("doc_id")).collect()
+    return folder, files
+
+
+_DISK = """SELECT concat(CASE WHEN doc_id % 5 = 0 THEN '_' ELSE '' END, 'f', doc_id, '.txt') AS filename, doc_id,
+      CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(text, '') END AS content FROM documents"""
+
+
+@query("src03_listing", f"SELECT filename, CAST(strlen(content) AS BIGINT) AS length, sha1(content) AS shasum FROM ({_DISK}) WHERE doc_id % 11 <> 3")
+def _(t):
+    from tidemark.sources.listing import list_folder
+
+    folder, _files = _files_of_documents(t)
+    return list_folder(t.spark, folder, recursive=True, digest=True).select("filename", "length", "shasum")
+
+
+@query(
+    "audit11_files_on_disk",
+    f"""
+    SELECT doc_id AS file_id, filename, CASE WHEN doc_id % 11 = 3 THEN 2 ELSE 1 END AS result FROM ({_DISK})
+    WHERE doc_id % 11 = 3 OR doc_id % 4 = 1
+    """,
+)
+def _(t):
+    from tidemark.sources.listing import list_folder
+
+    folder, files = _files_of_documents(t)
+    told = files.select(F.col("doc_id").alias("file_id"), "filename", "full_path",
+                        F.when(F.col("doc_id") % 4 == 1, "other").otherwise(F.sha1(F.col("text").cast("binary"))).alias("shasum"))
+    return audit.checksum_audit(told, list_folder(t.spark, folder, recursive=True, digest=True))
+
+
+@query("audit14_listed_files", f"SELECT doc_id AS file_id, filename FROM ({_DISK}) WHERE doc_id % 11 = 3")
+def _(t):
+    from tidemark.sources.listing import list_folder
+
+    folder, files = _files_of_documents(t)
+    told = files.select(F.col("doc_id").alias("file_id"), "filename", "full_path", F.lit(True).alias("exists_on_disk"))
+    return audit.existence_audit(told, list_folder(t.spark, folder, recursive=True)).select("file_id", "filename")
+
+
+_CODE_KEYS = """SELECT code_id, concat('d', code_id, '|x') AS a, 'f' AS b, CASE WHEN code_id % 2 = 0 THEN 'null' END AS c,
+      relative_path AS r FROM v_code_full"""
+
+
+@query(
+    "audit12_compare_codes",
+    f"""
+    WITH l AS ({_CODE_KEYS}),
+    o AS (SELECT code_id, CASE WHEN code_id % 3 = 1 THEN concat('d', code_id) ELSE a END AS a, CASE WHEN code_id % 3 = 1 THEN 'x|f' ELSE b END AS b,
+      CASE WHEN code_id % 3 = 2 THEN CASE WHEN c IS NULL THEN 'null' END ELSE c END AS c, concat(r, '/new') AS r FROM l)
+    SELECT concat(l.a, '|', l.b, '|', coalesce(l.c, 'null')) AS key, 'relative_path' AS attribute, l.r AS "left", o.r AS "right" FROM l JOIN o USING (code_id) WHERE code_id % 3 = 0
+    UNION ALL SELECT concat(a, '|', b, '|', coalesce(c, 'null')), 'only left', NULL, NULL FROM l WHERE code_id % 3 <> 0
+    UNION ALL SELECT concat(a, '|', b, '|', coalesce(c, 'null')), 'only right', NULL, NULL FROM o WHERE code_id % 3 <> 0
+    """,
+)
+def _(t):
+    # Keys that look alike when their parts are glued, and null against the word null.
+    n = F.col("code_id")
+    left = t.code_full.select(
+        "code_id", F.concat(F.lit("d"), n, F.lit("|x")).alias("a"), F.lit("f").alias("b"),
+        F.when(n % 2 == 0, "null").alias("c"), F.col("relative_path").alias("relative_path"))
+    right = left.select(
+        F.when(n % 3 == 1, F.concat(F.lit("d"), n)).otherwise(F.col("a")).alias("a"),
+        F.when(n % 3 == 1, "x|f").otherwise(F.col("b")).alias("b"),
+        F.when(n % 3 == 2, F.when(F.col("c").isNull(), "null")).otherwise(F.col("c")).alias("c"),
+        F.concat("relative_path", F.lit("/new")).alias("relative_path"))
+    return audit.compare_rows(left, right, ["a", "b", "c"], ["relative_path"])
+
+
 def _other(t):
     return Catalogue(
         file=t.file_other.withColumn("product_id", F.col("product_id")), product=t.product_other,

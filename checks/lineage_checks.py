@@ -53,6 +53,27 @@ def _(t):
     return lineage.descendants(seeds, t.filefilelink).select("file_id")
 
 
+@query(
+    "lin03_hot_nodes",
+    """
+    WITH RECURSIVE edge AS (SELECT o_custkey * 2 AS a, o_orderkey * 2 + 1 AS b FROM orders WHERE o_custkey % 3 <> 0
+        UNION ALL SELECT 0, o_orderkey * 2 + 1 FROM orders WHERE o_custkey % 3 = 0
+        UNION ALL SELECT o_orderkey * 2 + 1, (o_custkey + 1) * 2 FROM orders WHERE o_orderkey % 4 = 0),
+    up AS (SELECT CAST(0 AS BIGINT) AS node UNION SELECT e.b FROM up JOIN edge e ON e.a = up.node)
+    SELECT node FROM up
+    """,
+)
+def _(t):
+    # A node with a third of all edges; the lowered threshold spreads it and others over many shares.
+    o = t.base("orders")
+    down = o.select(F.when(F.col("o_custkey") % 3 == 0, 0).otherwise(F.col("o_custkey") * 2).cast("long").alias("node"),
+                    (F.col("o_orderkey") * 2 + 1).cast("long").alias("next"))
+    on = o.where("o_orderkey % 4 = 0").select(
+        (F.col("o_orderkey") * 2 + 1).cast("long").alias("node"), ((F.col("o_custkey") + 1) * 2).cast("long").alias("next"))
+    seeds = o.select(F.lit(0).cast("long").alias("node")).limit(1)
+    return lineage.reach(seeds, down.unionByName(on), hot_edges=5).select("node")
+
+
 @query(
     "lin03_ancestors",
     f"""

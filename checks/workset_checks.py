@@ -94,8 +94,8 @@ def _(t):
     """,
 )
 def _(t):
-    rows = edits.edit_text(t.code_full, "code", "filename", replace="make", text="build")
-    rows = edits.edit_text(rows, "code", "code_description", insert_after="process", text=" no.")
+    rows = edits.edit_text(t.code_full, "filename", edits.Replace("make", "build"))
+    rows = edits.edit_text(rows, "code_description", edits.insert_after("process", " no."))
     return rows.select("code_id", "filename", "code_description")
 
 
@@ -108,10 +108,9 @@ def _(t):
 )
 def _(t):
     rows = t.code_full.withColumn("again", F.col("arguments"))
-    rows = edits.edit_text(rows, "code", "arguments", insert_before="/data", text="/new", after_flag="-i")
-    merged = edits.edit_text(
-        rows.withColumn("after_flag", F.col("arguments")).withColumn("arguments", F.col("again")),
-        "code", "arguments", combine=True, after_flag="-i")
+    rows = edits.edit_flag_values(rows, "-i", edits.insert_before("/data", "/new"))
+    merged = edits.join_flag_values(
+        rows.withColumn("after_flag", F.col("arguments")).withColumn("arguments", F.col("again")), "-i")
     return merged.select("code_id", "after_flag", F.col("arguments").alias("combined"))
 
 

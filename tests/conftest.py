@@ -20,6 +20,7 @@ def spark():
             "spark.default.parallelism": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
+            "spark.sql.maxMetadataStringLength": "5000",  # plans with all pushed filters
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -132,10 +132,14 @@ def test_rounds_until_the_queue_is_empty(spark):
     rules = ingest.inspection_rules(c, trace_products(c))
     contents = spark.createDataFrame(list(texts.items()), "file_id bigint, content string")
     results = []
-    after, held, rounds = process_queue(
+    done = process_queue(
         c, contents, work, rules, "/data", "/codes", "2024-01-01 00:00:00",
         on_results=lambda runs, res: results.append((sorted(r.filename for r in res.collect()),
                                                      {r.filename: r.error for r in derive.failed(res).collect()})))
+    after, held, rounds = done.catalogue, done.contents, done.rounds
+    assert [(r.filename, r.error, r.round) for r in done.failed.collect()] == [
+        ("cat_20160103_v1.0.0.txt", "RuntimeError: disk full", 1)]
+    assert done.quarantine.collect() == []
     text = {r.filename: r.content for r in after.file.join(held, "file_id").collect()}
     assert text["cat_20160101_v1.0.0.txt"] == "Line 1"
     assert text["cat_20160102_v1.0.0.txt"] == "Line 1\nLine 2"

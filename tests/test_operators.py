@@ -132,33 +132,30 @@ def test_rules_on_a_good_catalogue(small):
         ("file", "has_stop"), ("file", "has_start"), ("file", "has_stop"), ("file", "has_start")]
 
 
-@pytest.mark.parametrize("given, options, expected", [
-    ("-i foobar -j foobar -k foobar", dict(text="baz", replace="bar", after_flag="-j"), "-i foobar -j foobaz -k foobar"),
-    ("-i foobar -j foobar -k foobar -j goobar", dict(text="baz", replace="bar", after_flag="-j"),
+@pytest.mark.parametrize("given, edit, expected", [
+    ("-i foobar -j foobar -k foobar", lambda c: edits.edit_flag_values(c, "-j", edits.Replace("bar", "baz")), "-i foobar -j foobaz -k foobar"),
+    ("-i foobar -j foobar -k foobar -j goobar", lambda c: edits.edit_flag_values(c, "-j", edits.Replace("bar", "baz")),
      "-i foobar -j foobaz -k foobar -j goobaz"),
-    ("-i foo -i bar -j baz", dict(combine=True, after_flag="-i"), "-i foo,bar -j baz"),
-    ("-i foo -i bar -j baz", dict(combine=True, after_flag="-j"), "-i foo -i bar -j baz"),
-    ("-i a -k x -i b -i c", dict(combine=True, after_flag="-i"), "-i a,c,b -k x"),
-    ("-i foo -j bar -k baz", dict(text="test_", insert_before="foo"), "-i test_foo -j bar -k baz"),
-    ("-i foo -j foobar -k baz", dict(text="2", insert_after="foo"), "-i foo2 -j foo2bar -k baz"),
-    ("-i foo -j foobar", dict(text="2", replace="nothing"), "-i foo -j foobar"),
-    (None, dict(text="2", replace="nothing"), None),
+    ("-i foo -i bar -j baz", lambda c: edits.join_flag_values(c, "-i"), "-i foo,bar -j baz"),
+    ("-i foo -i bar -j baz", lambda c: edits.join_flag_values(c, "-j"), "-i foo -i bar -j baz"),
+    ("-i foo -j baz", lambda c: edits.join_flag_values(c, "-x"), "-i foo -j baz"),
+    ("-i a -k x -i b -i c", lambda c: edits.join_flag_values(c, "-i"), "-i a,c,b -k x"),
+    ("-i foo -j bar -k baz", lambda c: edits.edit_text(c, "arguments", edits.insert_before("foo", "test_")), "-i test_foo -j bar -k baz"),
+    ("-i foo -j foobar -k baz", lambda c: edits.edit_text(c, "arguments", edits.insert_after("foo", "2")), "-i foo2 -j foo2bar -k baz"),
+    ("-i foo -j foobar", lambda c: edits.edit_text(c, "arguments", edits.Replace("nothing", "2")), "-i foo -j foobar"),
+    ("-i foo", lambda c: edits.edit_text(c, "arguments", edits.Replace("foo", "2"), F.col("arguments") == "-i bar"), "-i foo"),
+    (None, lambda c: edits.edit_text(c, "arguments", edits.Replace("nothing", "2")), None),
+    (None, lambda c: edits.join_flag_values(c, "-i"), None),
 ])
-def test_edit_arguments(spark, given, options, expected):
+def test_edit_arguments(spark, given, edit, expected):
     df = spark.createDataFrame([(given,)], "arguments string")
-    assert edits.edit_text(df, "code", "arguments", **options).first().arguments == expected
+    assert edit(df).first().arguments == expected
 
 
-@pytest.mark.parametrize("options, table, column", [
-    ({}, "code", "arguments"), (dict(insert_after="a", insert_before="b", text="c"), "code", "arguments"),
-    (dict(insert_after="a"), "code", "arguments"), (dict(combine=True, insert_after="a", text="b", after_flag="-f"), "code", "arguments"),
-    (dict(combine=True, text="b", after_flag="-f"), "code", "arguments"), (dict(combine=True), "code", "arguments"),
-    (dict(combine=True, after_flag="-f"), "code", "filename"), (dict(combine=True, after_flag="-f"), "process", "arguments"),
-])
-def test_edit_argument_rules(spark, options, table, column):
-    df = spark.createDataFrame([("x",)], f"{column} string")
-    with pytest.raises(ValueError):
-        edits.edit_text(df, table, column, **options)
+def test_an_edit_without_a_text_to_look_for_is_refused():
+    for make in (lambda: edits.Replace("", "x"), lambda: edits.insert_before("", "x"), lambda: edits.insert_after("", "x")):
+        with pytest.raises(ValueError):
+            make()
 
 
 def test_succession_needs_a_higher_version(spark):

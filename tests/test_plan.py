@@ -313,7 +313,7 @@ def test_run_list_keeps_equal_and_equally_named_rows_once(spark):
     assert got[2:] == [(3, "a"), (1, "b")]
 
 
-def test_long_walks_give_what_short_walks_give(spark):
+def test_walks_of_any_length(spark):
     day = dt.date(2020, 1, 1)
     key = "process_id bigint, day date, keywords string, version_bump smallint"
     starts = spark.createDataFrame([(p, day, None, None) for p in range(1, 6)], key).withColumn("start", version(1, 0, 0))
@@ -327,11 +327,8 @@ def test_long_walks_give_what_short_walks_give(spark):
         "process_id", "day", "keywords", "version_bump", version(1, 0, F.col("a")).alias("version"),
         F.when(F.col("b").isNotNull(), version(1, 0, F.col("b"))).alias("next"), "outcome")
 
-    def ends(limit):
-        out = walk(starts, steps, long_walk=limit).select("process_id", format_version(F.col("version")), "outcome")
-        return sorted(tuple(r) for r in out.collect())
-
-    assert ends(10_000) == ends(0) == ends(7) == [
+    out = walk(starts, steps).select("process_id", format_version(F.col("version")), "outcome")
+    assert sorted(tuple(r) for r in out.collect()) == [
         (1, "1.0.3", "run"), (2, "1.0.5", "up to date"), (3, "1.0.8", "no parents"), (4, "1.0.11", "error: x"),
         (5, "1.0.0", "run")]
 
@@ -347,3 +344,48 @@ def test_reprocess_queues_newest_files_with_a_bump(spark):
     rows = reprocess.reprocess(catalogue, 2, product=a).collect()
     assert [(r.file_id, r.version_bump) for r in rows] == [(new, 2)]
     assert ids(reprocess.reprocess(catalogue, None, start_date="2012-01-02")) == []
+
+
+def test_a_queue_of_one_file_prunes_the_file_scan(spark, tmp_path):
+    from tidemark.sources import catalogue as source
+
+    s = Small()
+    raw, out = s.product("raw"), s.product("out", level=1)
+    process, _ = s.process("make", out, "FILE")
+    s.link(raw, process, yesterday=1)
+    for month in range(1, 9):
+        s.file(f"raw_20120{month}15_v1.0.0", raw)
+    s.add("processqueue", file_id=3)
+    c = s.catalogue(spark)
+    source.write_table(c.file, "file", str(tmp_path))
+    c = c.replace(file=source.read_tables(spark, str(tmp_path), ["file"]).file)
+    queued = c.processqueue.join(c.file, "file_id")
+    near = reprocess._near(c.file, queued)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(file_month" in near and "2012-03" in near and "product_id" in near.split("PushedFilters")[1]
+    links = reprocess._links(c)
+    serving = reprocess._serving(c.file, links, dt.date(2012, 3, 15), dt.date(2012, 3, 15))
+    plan = serving._jdf.queryExecution().executedPlan().toString()
+    assert "file_month" in plan.split("PartitionFilters")[1].split("]")[0] and "EqualTo(product_id" in plan
+    assert [(r.filename, r.inputs) for r in reprocess.plan_changes(c, c.processqueue).where("runnable").collect()] == [
+        ("out_20120315_v1.0.0", [3])]
+    days = reprocess.plan_range(c, c.process, "2012-03-01", "2012-05-31")
+    assert sorted(r.filename for r in days.collect()) == [f"out_20120{m}15_v1.0.0" for m in (3, 4, 5)]
+
+
+def test_existing_names_meet_by_what_stands_before_the_version(spark):
+    s = Small()
+    out = s.product("out", form="x1.0.0_{Y}{m}{d}_v{VERSION}_{VERSION}")
+    plain = s.product("plain", form="p_{Y}{m}{d}")
+    for name, product in (("x1.0.0_20120101_v1.0.0_1.0.0", out), ("x1.0.0_20120101_v1.1.0_1.1.0", out),
+                          ("y1.0.0_20120101_v1.0.0_1.0.0", out), ("p_20120101", plain)):
+        s.file(name, product)
+    c = s.catalogue(spark)
+    rows = [(1, dt.date(2012, 1, 1), None, None, None, "DAILY", out, "x1.0.0_20120101_v{VERSION}_{VERSION}", 1),
+            (2, dt.date(2012, 1, 1), None, None, None, "DAILY", plain, "p_20120101", 1)]
+    plan = spark.createDataFrame(
+        rows, "process_id bigint, day date, keywords string, version_bump smallint, reason string, timebase string, "
+              "output_product bigint, name_template string, output_interface_version smallint")
+    got = sorted((r.process_id, r.file_id, r.versioned) for r in reprocess.existing_outputs(c, plan).collect())
+    files = {r.filename: r.file_id for r in c.file.collect()}
+    assert got == sorted([(1, files["x1.0.0_20120101_v1.0.0_1.0.0"], True), (1, files["x1.0.0_20120101_v1.1.0_1.1.0"], True),
+                          (2, files["p_20120101"], False)])

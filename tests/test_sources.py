@@ -136,6 +136,48 @@ def test_tree_scan_finds_what_is_not_ingested(spark, tmp_path):
         "prod120000102.txt", "prod219990501.txt"]
 
 
+def test_empty_and_underscore_files_are_listed_and_exist(spark, tmp_path):
+    root = tmp_path / "data"
+    (root / "store" / "_deep").mkdir(parents=True)
+    names = {"a.dat": b"x", "empty.dat": b"", "_u.dat": b"y" * 3_000_000, ".hidden": b"", "_deep/é b.dat": b"z"}
+    for name, content in names.items():
+        (root / "store" / name).write_bytes(content)
+    found = listing.list_folder(spark, str(root), recursive=True, digest=True)
+    got = {r.relative_path: (r.length, r.shasum) for r in found.collect()}
+    assert got == {f"store/{n}": (len(c), hashlib.sha1(c).hexdigest()) for n, c in names.items()}
+    flat = listing.list_folder(spark, f"file://{root}/store", content=True).collect()
+    assert {r.filename: bytes(r.content) for r in flat} == {n: c for n, c in names.items() if "/" not in n}
+    assert listing.list_folder(spark, str(root), "*.dat").collect() == []
+    assert {r.filename for r in listing.list_folder(spark, str(root / "store"), "{a,_u}.d?t").collect()} == {"a.dat", "_u.dat"}
+    files = spark.createDataFrame(
+        [(i, n, f"{root}/store/{n}", True) for i, n in enumerate([*names, "gone.dat"])],
+        "file_id int, filename string, full_path string, exists_on_disk boolean")
+    assert [r.filename for r in audit.existence_audit(files, found).collect()] == ["gone.dat"]
+
+
+def test_keys_are_compared_part_by_part(spark):
+    schema = "a string, b string, v int"
+    left = spark.createDataFrame([("a|b", "c", 1), (None, "x", 1), ("same", None, 1)], schema)
+    right = spark.createDataFrame([("a", "b|c", 1), ("null", "x", 1), ("same", None, 2)], schema)
+    got = sorted((r.key, r.attribute) for r in audit.compare_rows(left, right, ["a", "b"], ["v"]).collect())
+    assert got == [("a|b|c", "only left"), ("a|b|c", "only right"), ("null|x", "only left"), ("null|x", "only right"), ("same|null", "v")]
+
+
+def test_time_bounds_reach_the_scan(spark, tmp_path):
+    from tidemark.operators.catalogue import in_time_range
+
+    s = Small()
+    a = s.product("raw")
+    for d in range(1, 9):
+        s.file(f"raw_2012010{d}_v1.0.0", a)
+    source.write_table(s.catalogue(spark).file, "file", str(tmp_path))
+    back = source.read_tables(spark, str(tmp_path), ["file"]).file
+    cut = in_time_range(back, "2012-01-03", "2012-01-05")
+    assert ids(cut) == [3, 4, 5]
+    pushed = cut._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(utc_stop_time" in pushed and "LessThan(utc_start_time" in pushed
+
+
 def test_incoming_glob(spark, tmp_path):
     for name in ("b.dat", "a.dat", "c.txt"):
         (tmp_path / name).write_text("x")

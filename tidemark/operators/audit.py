@@ -251,14 +251,20 @@ def compare_rows(left: DataFrame, right: DataFrame, key: list[str], attributes:
     """Differences of two tables by natural key: (key, attribute, left, right).
 
     A key on one side only gives one row with attribute ``only left`` or
-    ``only right``.  Attributes compare as text, null equal to null.
+    ``only right``.  Keys and attributes compare as text, null equal to null;
+    the parts of a key are compared one by one and only shown joined by bars.
     """
+    parts = [f"_key{i}" for i in range(len(key))]
+
     def side(df: DataFrame, word: str) -> DataFrame:
         values = F.array(*[F.struct(F.lit(a).alias("attribute"), F.col(a).cast("string").alias("value"))
                            for a in attributes])
-        return df.select(_key(key).alias("key"), values.alias(word))
+        return df.select(*[F.col(c).cast("string").alias(p) for c, p in zip(key, parts)], values.alias(word))
 
-    joined = side(left, "l").join(side(right, "r"), "key", "full_outer")
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{p}").eqNullSafe(F.col(f"b.{p}")) for p in parts])
+    shown = [F.coalesce(F.when(F.col("l").isNotNull(), F.col(f"a.{p}")).otherwise(F.col(f"b.{p}")), F.lit("null")) for p in parts]
+    joined = side(left, "l").alias("a").join(side(right, "r").alias("b"), same, "full_outer").select(
+        F.concat_ws("|", *shown).alias("key"), "l", "r")
     pairs = F.filter(
         F.transform(F.sequence(F.lit(0), F.lit(len(attributes) - 1)), lambda i: F.struct(
             F.get("l", i)["attribute"].alias("attribute"),

@@ -118,8 +118,16 @@ def in_time_range(
     """Files whose closed interval overlaps the closed range; either side may be open.
 
     With `whole_second` both sides drop the fraction, which may keep a file
-    that misses the range by less than a second but never loses one.
+    that misses the range by less than a second but never loses one.  The
+    bounds on the raw times that follow from it reach the scan.
     """
+    def moment(seconds: int) -> Column:
+        return F.lit(dt.datetime(1970, 1, 1) + dt.timedelta(seconds=seconds)).cast("timestamp_ntz")
+
+    if whole_second and start_time is not None:
+        files = files.where(F.col("utc_stop_time") > moment(_bound_seconds(start_time, False) - 1))
+    if whole_second and end_time is not None:
+        files = files.where(F.col("utc_start_time") < moment(_bound_seconds(end_time, True) + 1))
     if whole_second:
         start, stop = whole_seconds(F.col("utc_start_time")), whole_seconds(F.col("utc_stop_time"))
         low = None if start_time is None else F.lit(_bound_seconds(start_time, False))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,84 +13,68 @@ from tidemark.model import Catalogue
 from tidemark.operators.catalogue import full_paths
 
 
-def _words(value: Column) -> Column:
-    return F.filter(F.split(value, r"\s+"), lambda w: w != "")
+@dataclass(frozen=True)
+class Replace:
+    """Put `new` wherever `old` stands."""
 
+    old: str
+    new: str
 
-def _edit_after(value: Column, flag: str, old: str, new: str) -> Column:
-    """Replace inside each word that directly follows the flag, if the flag occurs at all."""
-    words = _words(value)
-    edited = F.transform(
-        words,
-        lambda w, i: F.when((i > 0) & (F.get(words, i - 1) == flag), F.replace(w, F.lit(old), F.lit(new))).otherwise(w),
-    )
-    return F.array_join(edited, " ")
-
-
-def _combine(value: Column, flag: str) -> Column:
-    """Join the words after each occurrence of a repeated flag with commas, from the last one back."""
-    words = _words(value)
-    place = F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)))
-    flags = F.filter(place, lambda i: F.get(words, i) == flag)
-    later = F.slice(flags, F.lit(2), F.greatest(F.size(flags) - 1, F.lit(0)))
-    values = F.reverse(F.transform(later, lambda i: F.get(words, i + 1)))
-    first = F.get(flags, F.lit(0))
-    joined = F.concat_ws(",", F.get(words, first + 1), F.array_join(values, ","))
-    rest = F.filter(place, lambda i: ~F.array_contains(later, i) & ~F.array_contains(later, i - 1))
-    merged = F.transform(rest, lambda i: F.when(i == first + 1, joined).otherwise(F.get(words, i)))
-    return F.array_join(F.when(F.size(flags) > 1, merged).otherwise(words), " ")
-
-
-def edit_text(
-    rows: DataFrame,
-    table: str,
-    column: str,
-    *,
-    text: str | None = None,
-    after_flag: str | None = None,
-    insert_after: str | None = None,
-    insert_before: str | None = None,
-    replace: str | None = None,
-    combine: bool = False,
-    where: Column | None = None,
-) -> DataFrame:
-    """Edit a text column of all rows, or of those matching `where`.
-
-    Exactly one of `replace`, `insert_before`, `insert_after` (each with
-    `text`) and `combine` applies.  `after_flag`, for code arguments only,
-    limits the edit to the word after the flag; `combine` joins the values of
-    a repeated flag.  Null stays null.
+    def __post_init__(self):
+        if not self.old:
+            raise ValueError("the text to look for is empty")
+
+    def apply(self, text: Column) -> Column:
+        return F.replace(text, F.lit(self.old), F.lit(self.new))
+
+
+def insert_before(mark: str, text: str) -> Replace:
+    """Put `text` before every `mark`."""
+    return Replace(mark, text + mark)
+
+
+def insert_after(mark: str, text: str) -> Replace:
+    """Put `text` after every `mark`."""
+    return Replace(mark, mark + text)
+
+
+def _changed(rows: DataFrame, column: str, edited: Column, where: Column | None) -> DataFrame:
+    """The column with `edited` in the chosen rows; a null text stays null."""
+    chosen = F.col(column).isNotNull() if where is None else F.col(column).isNotNull() & where
+    return rows.withColumn(column, F.when(chosen, edited).otherwise(F.col(column)))
+
+
+def edit_text(rows: DataFrame, column: str, edit: Replace, where: Column | None = None) -> DataFrame:
+    """Edit a text column of all rows, or of those matching `where`."""
+    return _changed(rows, column, edit.apply(F.col(column)), where)
+
+
+def _command_words(text: Column) -> Column:
+    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+
+
+def edit_flag_values(code: DataFrame, flag: str, edit: Replace, where: Column | None = None) -> DataFrame:
+    """Edit the word behind each occurrence of a flag in the arguments of codes; words are set apart by one blank."""
+    words = _command_words(F.col("arguments"))
+    behind = F.transform(
+        words, lambda w, i: F.when((i > 0) & (F.get(words, i - 1) == flag), edit.apply(w)).otherwise(w))
+    return _changed(code, "arguments", F.array_join(behind, " "), where)
+
+
+def join_flag_values(code: DataFrame, flag: str, where: Column | None = None) -> DataFrame:
+    """Give a repeated flag in the arguments of codes once, with its values joined by commas.
+
+    The first value comes first, the others follow from the last one back.
     """
-    given = [v for v in (insert_after, insert_before, replace) if v is not None]
-    if not combine and not any(given):
-        raise ValueError("nothing to do")
-    if not combine and len(given) != 1:
-        raise ValueError("give only one of insert_after, insert_before and replace")
-    if any(given) and not combine and not text:
-        raise ValueError("text is needed")
-    if combine and given:
-        raise ValueError("combine excludes insert_after, insert_before and replace")
-    if combine and text:
-        raise ValueError("combine takes no text")
-    if after_flag and (table != "code" or column != "arguments"):
-        raise ValueError("after_flag is only for the arguments of codes")
-    if combine and not after_flag:
-        raise ValueError("combine needs after_flag")
-
-    value = F.col(column)
-    if combine:
-        edited = _combine(value, after_flag)
-    else:
-        old = given[0]
-        new = text + old if insert_before else old + text if insert_after else text
-        if after_flag:
-            edited = _edit_after(value, after_flag, old, new)
-        else:
-            edited = F.replace(value, F.lit(old), F.lit(new))
-    edited = F.when(value.isNotNull(), edited)
-    if where is not None:
-        edited = F.when(where, edited).otherwise(value)
-    return rows.withColumn(column, edited)
+    words = _command_words(F.col("arguments"))
+    places = F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: F.coalesce(F.get(words, i) == flag, F.lit(False)))
+    first = F.get(places, F.lit(0))
+    repeats = F.filter(places, lambda i: i > first)
+    values = F.concat(
+        F.array(F.get(words, first + 1)), F.transform(F.reverse(repeats), lambda i: F.get(words, i + 1)))
+    joined = F.transform(words, lambda w, i: F.when(i == first + 1, F.array_join(values, ",")).otherwise(w))
+    kept = F.filter(joined, lambda w, i: ~F.array_contains(repeats, i) & ~F.array_contains(repeats, i - 1))
+    return _changed(code, "arguments", F.array_join(F.when(F.size(repeats) > 0, kept).otherwise(words), " "), where)
 
 
 def arguments_with_root(code: DataFrame, root: str) -> DataFrame:

@@ -18,23 +18,21 @@ from tidemark.operators.catalogue import first_seen, full_paths
 from tidemark.operators.skew import number_rows
 from tidemark.session import durable
 
-# Longest literal start of a pattern that is used as a join key.
-_KEY_LENGTH = 16
-
 
 def match_patterns(names: DataFrame, column: str, patterns: DataFrame, whole: bool = True) -> DataFrame:
     """Every (row, pattern) pair where the text matches.
 
     `patterns` has `pattern` and `prefix`, the text each match starts with.
-    The start of the prefix is an equi key: a name is tried only against
-    patterns that begin like it, and the expression is the residual
-    condition.  Names repeat once per key length in use, of which there are
-    at most 17.  Patterns match from the start, with `whole` to the end.
+    The prefix is an equi key: a name is tried only against patterns whose
+    whole literal start it has, and the expression is the residual
+    condition.  Names repeat once per prefix length in use.  Patterns match
+    from the start, with `whole` to the end.
     """
-    length = F.least(F.length("prefix"), F.lit(_KEY_LENGTH))
+    patterns = durable(patterns)  # read twice below
+    length = F.length("prefix")
     lengths = sorted(r[0] for r in patterns.select(length.alias("n")).distinct().collect())
     keyed = patterns.withColumns({
-        "_length": length, "_key": F.substring(F.col("prefix"), F.lit(1), length),
+        "_length": length, "_key": F.col("prefix"),
     })
     text = F.col(column)
     spread = names.withColumn("_length", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")))

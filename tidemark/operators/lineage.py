@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,12 +11,6 @@ from tidemark.model import Catalogue
 from tidemark.operators import skew
 from tidemark.session import durable, durable_partitioned
 
-# So many per-round tables are kept side by side before they are merged.
-_ROUNDS_APART = 8
-# Graphs above this are partitioned by node once; smaller ones are shuffled or sent around each round.
-SMALL_GRAPH = 2_000_000
-_PARTITION_EDGES = 500_000
-
 
 def parents(links: DataFrame, files: DataFrame) -> DataFrame:
     """Direct inputs of each file, one row per link."""
@@ -32,52 +28,47 @@ def children(links: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def reach(
-    seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS, small_graph: int = SMALL_GRAPH
-) -> DataFrame:
+def reach(seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS) -> DataFrame:
     """Every node reachable from the seeds, with the fewest steps to it.
 
     `seeds` has `node`; `edges` has `node` and `next`.  Seeds come back with
     depth 0.  Only nodes are kept, never (seed, node) pairs, so the work is
     linear in nodes and edges.
 
-    The edges are written once, those of a large graph partitioned by node,
-    so that each round shuffles its frontier to them and not them.  A node with more than `hot_edges` edges is spread
-    over several partitions (at most ``edges / hot_edges`` such nodes, which
-    bounds the broadcast list) and its frontier row is repeated to match.
-    Each round is materialised, so a lost executor repeats one round.
+    The edges are written once, bucketed by node, so that each round shuffles
+    its frontier to them and not them.  Every node's edges are dealt over
+    ``ceil(n / hot_edges)`` shares, one for nearly all nodes; the list of the
+    others has at most ``edges / hot_edges`` rows, which bounds its
+    broadcast.  Each round is a table, so a lost executor repeats one round.
+    Tables of nodes already found are merged like the digits of a binary
+    counter, so that a node is written again log2(rounds) times at most.
     """
+    edges = durable(edges.select("node", "next"))
     degree = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_edges)
     hot = durable(degree.select("node", F.ceil(F.col("_n") / hot_edges).cast("int").alias("_shares")))
     share = F.coalesce(F.pmod(F.xxhash64("next"), F.col("_shares")), F.lit(0)).cast("int")
     spread = edges.join(F.broadcast(hot), "node", "left").select("node", "next", share.alias("_share"))
-    n_edges = edges.count()
-    if n_edges <= small_graph:
-        spread = durable(spread)
-    else:
-        spread = durable_partitioned(spread, n_edges // _PARTITION_EDGES, "node", "_share")
+    spread = durable_partitioned(spread, 1, "node", "_share")
     shares = F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))
 
     frontier = durable(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
-    rounds = [frontier]
+    found_so_far = [(1, frontier)]  # (rounds in it, table)
     depth = 0
     while not frontier.isEmpty():
         depth += 1
         ahead = frontier.join(F.broadcast(hot), "node", "left").select("node", shares.alias("_share"))
         found = ahead.join(spread, ["node", "_share"]).select(F.col("next").alias("node")).distinct()
-        fresh = found.join(_union(rounds).select("node"), "node", "left_anti")
+        fresh = found.join(_union([table for _, table in found_so_far]).select("node"), "node", "left_anti")
         frontier = durable(fresh.withColumn("depth", F.lit(depth)))
-        rounds.append(frontier)
-        if len(rounds) > _ROUNDS_APART:
-            rounds = [durable(_union(rounds))]
-    return _union(rounds)
+        found_so_far.append((1, frontier))
+        while len(found_so_far) > 1 and found_so_far[-2][0] == found_so_far[-1][0]:
+            (n, earlier), (_, later) = found_so_far[-2:]
+            found_so_far[-2:] = [(2 * n, earlier.unionByName(later) if n == 1 else durable(earlier.unionByName(later)))]
+    return _union([table for _, table in found_so_far])
 
 
 def _union(pieces: list[DataFrame]) -> DataFrame:
-    out = pieces[0]
-    for piece in pieces[1:]:
-        out = out.unionByName(piece)
-    return out
+    return reduce(DataFrame.unionByName, pieces)
 
 
 def descendants(ids: DataFrame, links: DataFrame) -> DataFrame:

@@ -10,12 +10,13 @@ One pass plans all changed files at once:
 ``run_list``         one row per output, in order, with its command
 
 A row that drops out keeps its cell with a `reason`.  No step loops over
-files, days or processes; only the walk past an unusually long row of
-existing versions takes several rounds.
+files, days or processes; only the walk past existing versions takes
+rounds, as many as their number has binary digits.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -35,7 +36,15 @@ from tidemark.functions.version import (
 )
 from tidemark.model import Catalogue
 from tidemark.operators import workset
-from tidemark.operators.catalogue import CELL, cell_versions, first_seen, newest, newest_ids, select_files
+from tidemark.operators.catalogue import (
+    CELL,
+    cell_versions,
+    first_seen,
+    in_date_range,
+    newest,
+    newest_ids,
+    select_files,
+)
 from tidemark.operators.skew import join_to_groups
 from tidemark.operators.trace import code_for_process, process_of_output, trace_products
 from tidemark.session import durable
@@ -46,8 +55,8 @@ RUN_LEVEL = 5000.0
 
 # A plan row: one per cell, for FILE processes also per trigger keyword, and per asked bump.
 KEY = ["process_id", "day", "keywords", "version_bump"]
-# More existing versions than this are walked in rounds instead of in one array.
-LONG_WALK = 10_000
+# A list of products up to this long is given to the scan as a filter; longer ones are left to the join.
+PRUNED_PRODUCTS = 1_000
 
 _VERSION_ORDER = ["interface_version", "quality_version", "revision_version"]
 
@@ -58,6 +67,28 @@ def _same(left: str, right: str, keys: list[str]) -> Column:
     )
 
 
+# -- pruning ---------------------------------------------------------------
+
+
+def _near(files: DataFrame, cells: DataFrame) -> DataFrame:
+    """The rows of `files` in the given cells (product_id, utc_file_date).
+
+    The first and last date and the products of the cells, one small row,
+    become literals, so that the scan is pruned to their months and products;
+    the semi-join does the rest.  A null date is a cell of its own.
+    """
+    bounds = cells.agg(
+        F.min("utc_file_date").alias("first"), F.max("utc_file_date").alias("last"),
+        F.collect_set("product_id").alias("products"), F.max(F.col("utc_file_date").isNull()).alias("undated"),
+    ).first()
+    kept = files.where(F.col("product_id").isin(bounds.products)) if len(bounds.products) <= PRUNED_PRODUCTS else files
+    if not bounds.undated:
+        kept = in_date_range(kept, bounds.first, bounds.last)
+    keys = cells.select(*[F.col(c).alias(f"_{c}") for c in CELL]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CELL])
+    return kept.join(keys, same, "left_semi")
+
+
 # -- affected cells ---------------------------------------------------------
 
 
@@ -73,11 +104,13 @@ def affected(
     leaves its rows with a reason.
     """
     files = catalogue.file.select(
-        "file_id", "product_id", "process_keywords",
+        "file_id", "product_id", "utc_file_date", "process_keywords",
         F.to_date("utc_start_time").alias("_first"), F.to_date("utc_stop_time").alias("_last"),
     )
-    changed = queue.select("file_id", F.col("version_bump").cast("smallint").alias("version_bump")).join(
-        newest_ids(catalogue.file), "file_id", "left_semi").join(files, "file_id")
+    queued = durable(
+        queue.select("file_id", F.col("version_bump").cast("smallint").alias("version_bump")).join(files, "file_id"))
+    ranked = newest_ids(_near(catalogue.file, queued))
+    changed = queued.join(ranked, "file_id", "left_semi")
     process = catalogue.process.select("process_id", F.col("output_timebase").alias("timebase"))
     if skip_run:
         process = process.where(~F.col("timebase").eqNullSafe("RUN"))
@@ -118,13 +151,38 @@ def _spans(files: DataFrame) -> DataFrame:
     return newest(narrow, ["product_id", "utc_file_date", "first_day", "last_day"])
 
 
-def input_candidates(files: DataFrame, links: DataFrame) -> DataFrame:
+def _serving(files: DataFrame, links: DataFrame, first, last) -> DataFrame:
+    """The rows of `files` that can serve a day from `first` to `last`, pruned where the scan can do it.
+
+    The widest windows of the links and their products, one small row, become
+    literals.  Processes that go by file date need a date in reach, DAILY
+    ones a time; with both, either will do.
+    """
+    bounds = links.agg(
+        F.max("yesterday").alias("back"), F.max("tomorrow").alias("ahead"), F.collect_set("input_product_id").alias("products"),
+        F.max(F.col("timebase").eqNullSafe("DAILY")).alias("by_time"), F.max(~F.col("timebase").eqNullSafe("DAILY")).alias("by_date"),
+    ).first()
+    if first is None or not bounds.products:
+        return files.where(F.lit(False))
+    low, high = first - dt.timedelta(days=max(bounds.back, 0)), last + dt.timedelta(days=max(bounds.ahead, 0))
+    if len(bounds.products) <= PRUNED_PRODUCTS:
+        files = files.where(F.col("product_id").isin(bounds.products))
+    if not bounds.by_time:
+        return in_date_range(files, low, high)
+    in_time = (F.col("utc_stop_time") >= F.lit(low).cast("timestamp_ntz")) & (
+        F.col("utc_start_time") < F.lit(high + dt.timedelta(days=1)).cast("timestamp_ntz"))
+    in_date = F.col("utc_file_date").between(F.lit(low), F.lit(high))
+    return files.where(in_time | in_date if bounds.by_date else in_time)
+
+
+def input_candidates(files: DataFrame, links: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Files each cell may take, newest per input product and file date.
 
     `links` has process_id, timebase, input_product_id, optional, yesterday
     and tomorrow.  DAILY processes match the days the data span, the others
     the file date.  Each file is repeated for the days it can serve, so the
-    match is an equi join and not a range join.
+    match is an equi join and not a range join.  With `wanted` (process_id,
+    day) only these cells are ranked.
     """
     daily = F.col("timebase") == "DAILY"
     first = F.when(daily, F.col("first_day")).otherwise(F.col("utc_file_date"))
@@ -132,9 +190,18 @@ def input_candidates(files: DataFrame, links: DataFrame) -> DataFrame:
     days = days_between(F.date_sub(first, F.col("tomorrow")), F.date_add(last, F.col("yesterday")))
     spans = _spans(files).withColumnRenamed("product_id", "input_product_id")
     rows = spans.join(links, "input_product_id").withColumn("day", F.explode(days))
+    if wanted is not None:
+        rows = rows.join(wanted, ["process_id", "day"], "left_semi")
     return newest(rows, ["process_id", "day", "input_product_id", "utc_file_date"])
 
 
+def as_date(value) -> dt.date:
+    """A date bound given as text, date or time."""
+    if isinstance(value, str):
+        return dt.date.fromisoformat(value[:10])
+    return value.date() if isinstance(value, dt.datetime) else value
+
+
 def _links(catalogue: Catalogue) -> DataFrame:
     process = catalogue.process.select("process_id", F.col("output_timebase").alias("timebase"))
     return catalogue.productprocesslink.select(
@@ -152,8 +219,9 @@ def required_inputs(catalogue: Catalogue, cells: DataFrame) -> DataFrame:
     live = cells.where("reason IS NULL")
     wanted = live.select("process_id", "day").distinct()
     used = links.join(wanted.select("process_id").distinct(), "process_id", "left_semi")
-    found = input_candidates(catalogue.file.where("exists_on_disk"), used).join(
-        wanted, ["process_id", "day"], "left_semi")
+    reach = wanted.agg(F.min("day").alias("first"), F.max("day").alias("last")).first()
+    serving = _serving(catalogue.file.where("exists_on_disk"), used, reach.first, reach.last)
+    found = input_candidates(serving, used, wanted)
     needed = links.groupBy("process_id").agg(
         F.count(F.when(~F.col("optional"), 1)).alias("_needed"))
     # Bounded by the days in a process's input windows, not by the files.
@@ -257,20 +325,36 @@ def with_output(catalogue: Catalogue, plan: DataFrame) -> DataFrame:
 def existing_outputs(catalogue: Catalogue, plan: DataFrame) -> DataFrame:
     """Files that already carry a plan row's name at some version.
 
-    An output belongs to its product and day, so candidates come from that
-    cell and then must match by name.  A name without a version field stands
-    for whatever version is asked.
+    An output belongs to its product and day; within that cell rows and files
+    meet on the part of the name before the version, so a crowded cell makes
+    no pairs of unlike names.  A name without a version field stands for
+    whatever version is asked.
     """
     live = plan.where("reason IS NULL AND timebase <> 'RUN'").select(
         *KEY, "output_product", "name_template", "output_interface_version")
-    files = catalogue.file.select("file_id", "filename", *CELL, version_of().alias("_version"))
     open_name = F.col("name_template").contains("{VERSION}")
-    same_cell = (F.col("output_product") == F.col("product_id")) & (F.col("day") == F.col("utc_file_date"))
-    name = F.replace("name_template", F.lit("{VERSION}"), format_version(F.col("_version")))
+    # A template's text before its first version field is the start of the name before that version;
+    # a name is listed under each place its version stands at, and whole for names without a field.
+    live = live.withColumn("_key", F.substring_index("name_template", "{VERSION}", 1)).withColumn("_open", open_name)
+    cells = live.select(F.col("output_product").alias("product_id"), F.col("day").alias("utc_file_date")).distinct()
+    files = _near(catalogue.file, cells).select("file_id", "filename", *CELL, version_of().alias("_version"))
+    files = files.withColumn("_text", format_version(F.col("_version")))
+    places = F.filter(
+        F.sequence(F.lit(1), F.greatest(F.length("filename"), F.lit(1))),
+        lambda i: F.substring(F.col("filename"), i, F.length("_text")) == F.col("_text"))
+    keys = F.concat(
+        F.transform(places, lambda i: F.struct(F.lit(True).alias("open"), F.substring(F.col("filename"), F.lit(1), i - 1).alias("key"))),
+        F.array(F.struct(F.lit(False).alias("open"), F.col("filename").alias("key"))))
+    listed = files.withColumn("_at", F.explode(keys))
+    same = (
+        (F.col("output_product") == F.col("product_id")) & (F.col("day") == F.col("utc_file_date"))
+        & (F.col("_key") == F.col("_at.key")) & (F.col("_open") == F.col("_at.open"))
+    )
+    name = F.replace("name_template", F.lit("{VERSION}"), F.col("_text"))
     start = version(F.col("output_interface_version"), 0, 0)
-    return live.join(files, same_cell).where(F.col("filename") == name).select(
-        *KEY, "file_id", open_name.alias("versioned"),
-        F.when(open_name, F.col("_version")).otherwise(start).alias("version"),
+    return live.join(listed, same).where(F.col("filename") == name).select(
+        *KEY, "file_id", F.col("_open").alias("versioned"),
+        F.when(F.col("_open"), F.col("_version")).otherwise(start).alias("version"),
     )
 
 
@@ -365,55 +449,14 @@ def output_steps(catalogue: Catalogue, plan: DataFrame, existing: DataFrame) ->
     )
 
 
-def walk(starts: DataFrame, steps: DataFrame, long_walk: int = LONG_WALK) -> DataFrame:
+def walk(starts: DataFrame, steps: DataFrame) -> DataFrame:
     """Follow the steps from each start to the version to write or to a stop.
 
     `starts` has the key and `start`; `steps` the key, `version`, `next` and
-    `outcome`.  Every step leads to a higher version, so one pass over a
-    key's steps in version order follows the whole chain.  Keys with more
-    than `long_walk` steps would make that array too long and are followed by
-    doubling instead.  Adds `version` and `outcome` (``run`` when the version
-    is free).
-    """
-    sizes = steps.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
-    long_keys = durable(sizes.where(F.col("_n") > long_walk).select(*KEY))
-    if long_keys.isEmpty():
-        return _walk_short(starts, steps)
-    # At most steps / long_walk keys, so the list is small enough to send around.
-    hot = F.broadcast(long_keys)
-
-    def split(df: DataFrame, how: str) -> DataFrame:
-        return df.alias("a").join(hot.alias("h"), _same("a", "h", KEY), how).select("a.*")
-
-    short = _walk_short(split(starts, "left_anti"), split(steps, "left_anti"))
-    return short.unionByName(_walk_long(split(starts, "left_semi"), split(steps, "left_semi")))
-
-
-def _walk_short(starts: DataFrame, steps: DataFrame) -> DataFrame:
-    listed = steps.groupBy(*KEY).agg(
-        F.array_sort(F.collect_list(F.struct("version", "next", "outcome"))).alias("_steps"))
-    rows = starts.alias("s").join(listed.alias("l"), _same("s", "l", KEY), "left").select("s.*", "l._steps")
-    begin = F.struct(F.col("start").alias("at"), F.lit(None).cast("string").alias("outcome"))
-
-    def follow(state: Column, step: Column) -> Column:
-        here = state["outcome"].isNull() & (step["version"] == state["at"])
-        return F.when(
-            here, F.struct(F.coalesce(step["next"], state["at"]).alias("at"), step["outcome"].alias("outcome"))
-        ).otherwise(state)
-
-    empty = F.expr("CAST(array() AS ARRAY<STRUCT<version: STRUCT<interface: INT, quality: INT, revision: INT>,"
-                   " next: STRUCT<interface: INT, quality: INT, revision: INT>, outcome: STRING>>)")
-    end = F.aggregate(F.coalesce("_steps", empty), begin, follow)
-    return rows.withColumn("_end", end).select(
-        *starts.columns, F.col("_end.at").alias("version"),
-        F.coalesce("_end.outcome", F.lit("run")).alias("outcome"),
-    )
-
-
-def _walk_long(starts: DataFrame, steps: DataFrame) -> DataFrame:
-    """Pointer doubling: after n rounds each step knows what lies 2^n steps ahead.
-
-    The join key holds the version, so no single key gathers many rows.
+    `outcome`.  Adds `version` and `outcome` (``run`` when the version is
+    free).  Pointer doubling: after n rounds each step knows what lies 2^n
+    steps ahead.  The join key holds the version, so no single key gathers
+    many rows, however many versions an output has.
     """
     state = durable(steps.select(
         *KEY, "version", F.coalesce("next", "version").alias("at"),
@@ -546,7 +589,8 @@ def range_inputs(catalogue: Catalogue, processes: DataFrame, first, last) -> Dat
     links = _links(catalogue).withColumns({"yesterday": F.lit(0), "tomorrow": F.lit(0)})
     links = links.join(processes.select("process_id").distinct(), "process_id", "left_semi")
     low, high = F.lit(first).cast("date"), F.lit(last).cast("date")
-    found = input_candidates(catalogue.file, links).where((F.col("day") >= low) & (F.col("day") <= high))
+    serving = _serving(catalogue.file, links, as_date(first), as_date(last))
+    found = input_candidates(serving, links).where((F.col("day") >= low) & (F.col("day") <= high))
     # Bounded by the input products of a process and the dates that touch one day.
     gathered = found.groupBy("process_id", "day").agg(
         F.array_sort(F.collect_list(F.struct("file_id", "process_keywords"))).alias("_found"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import join_path
 from tidemark.model import Catalogue
 from tidemark.operators.catalogue import newest_ids
-from tidemark.operators.lineage import ancestors, descendants
+from tidemark.operators.lineage import reach
 
 
 def retention_candidates(catalogue: Catalogue, cutoff) -> DataFrame:
@@ -22,11 +22,17 @@ def retention_candidates(catalogue: Catalogue, cutoff) -> DataFrame:
     made = links.select(F.col("resulting_file").alias("file_id")).distinct()
     old = files.where(F.col("utc_file_date") <= F.lit(cutoff).cast("date")).select("file_id")
     old_roots = old.join(made, "file_id", "left_anti")
-    return (
-        files.select("file_id")
-        .join(ancestors(wanted, links).select("file_id"), "file_id", "left_anti")
-        .join(descendants(old_roots, links).select("file_id"), "file_id", "left_anti")
-    )
+    # Both directions in one loop: a node is twice the id, plus one on the way down.
+    up, down = F.lit(0), F.lit(1)
+
+    def node(column: str, way) -> Column:
+        return F.col(column).cast("long") * 2 + way
+
+    seeds = wanted.select(node("file_id", up).alias("node")).unionByName(old_roots.select(node("file_id", down).alias("node")))
+    edges = links.select(node("resulting_file", up).alias("node"), node("source_file", up).alias("next")).unionByName(
+        links.select(node("source_file", down).alias("node"), node("resulting_file", down).alias("next")))
+    kept = reach(seeds, edges).select(F.shiftright("node", 1).alias("file_id"))
+    return files.select("file_id").join(kept, "file_id", "left_anti")
 
 
 def reap_plan(

@@ -3,20 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.model import Catalogue, conform
-from tidemark.operators.derive import UserCode, ingest_outputs, run_code
+from tidemark.operators.derive import UserCode, failed, ingest_outputs, run_code
 from tidemark.operators.trace import trace_products
 from tidemark.plans.reprocess import plan_changes, run_list, with_arguments
 from tidemark.session import durable
 
 
-def _add(catalogue: Catalogue, table: str, rows: DataFrame) -> DataFrame:
+class Processed(NamedTuple):
+    """What emptying the queue left behind.
+
+    ``failed`` has filename, error and round of every run that raised, and
+    ``quarantine`` filename, path, reason and round of outputs that the
+    catalogue would not take.  The queue in `catalogue` holds what is
+    really left to plan, which is nothing unless the work was interrupted.
+    """
+
+    catalogue: Catalogue
+    contents: DataFrame
+    rounds: int
+    failed: DataFrame
+    quarantine: DataFrame
+
+
+def _grown(catalogue: Catalogue, table: str, rows: DataFrame) -> DataFrame:
+    """The table with new rows behind it; what was there is not written again."""
     present = getattr(catalogue, table)
-    return durable(present.unionByName(conform(rows, table).select(*present.columns)))
+    return present.unionByName(durable(conform(rows, table).select(*present.columns)))
+
+
+def _all(pieces: list[DataFrame], spark, schema: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, pieces) if pieces else spark.createDataFrame([], schema)
 
 
 def process_queue(
@@ -28,22 +51,22 @@ def process_queue(
     code_root: str,
     created,
     on_results: Callable[[DataFrame, DataFrame], None] | None = None,
-    max_rounds: int = 100,
-) -> tuple[Catalogue, DataFrame, int]:
+) -> Processed:
     """Empty the queue: each round plans all queued files, runs and catalogues the outputs.
 
-    New outputs are queued for the next round, so lower levels come first.
-    `contents` has file_id and content.  Returns the catalogue, the contents
-    with those of new files, and the number of rounds that ran something.
-    One round is one set of distributed jobs; the driver only asks whether
-    anything is left.
+    New outputs are queued for the next round, so lower levels come first,
+    and rounds go on until one makes nothing.  `contents` has file_id and
+    content.  One round is one set of distributed jobs; the driver only asks
+    whether anything is left.
     """
+    spark = contents.sparkSession
     trace = trace_products(catalogue)
     queue = durable(catalogue.processqueue.select("file_id", "version_bump"))
-    rounds = 0
-    while rounds < max_rounds and not queue.isEmpty():
+    rounds, errors, refused = 0, [], []
+    while not queue.isEmpty():
         runs = durable(run_list(plan_changes(catalogue, queue)))
         if runs.isEmpty():
+            queue = queue.where(F.lit(False))  # planned, and nothing to do
             break
         rounds += 1
         runs = with_arguments(catalogue, runs, root, code_root)
@@ -52,13 +75,20 @@ def process_queue(
             on_results(runs, results)
         made = ingest_outputs(catalogue, runs, results, rules, trace, root, created)
         files = durable(made.files)
+        errors.append(failed(results).withColumn("round", F.lit(rounds)))
+        refused.append(durable(made.ingested.quarantine.withColumn("round", F.lit(rounds))))
         new = files.select("file_id", "filename").join(results.select("filename", "content"), "filename")
-        contents = durable(contents.select("file_id", "content").unionByName(new.select("file_id", "content")))
+        contents = contents.select("file_id", "content").unionByName(durable(new.select("file_id", "content")))
         catalogue = catalogue.replace(
-            file=_add(catalogue, "file", files),
-            filecodelink=_add(catalogue, "filecodelink", made.filecodelink),
-            filefilelink=_add(catalogue, "filefilelink", made.filefilelink),
+            file=_grown(catalogue, "file", files),
+            filecodelink=_grown(catalogue, "filecodelink", made.filecodelink),
+            filefilelink=_grown(catalogue, "filefilelink", made.filefilelink),
         )
         queue = durable(files.select("file_id", F.lit(None).cast("smallint").alias("version_bump")))
-    empty = catalogue.processqueue.where(F.lit(False))
-    return catalogue.replace(processqueue=empty), contents, rounds
+    return Processed(
+        catalogue.replace(processqueue=conform(queue, "processqueue")),
+        contents,
+        rounds,
+        _all(errors, spark, "filename string, error string, round int"),
+        _all(refused, spark, "filename string, path string, reason string, round int"),
+    )

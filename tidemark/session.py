@@ -64,18 +64,11 @@ def durable_rows(df: DataFrame) -> DataFrame:
 
 
 def durable_partitioned(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
-    """Checkpoint `df` partitioned by `keys`, so that joins on them shuffle the other side only.
-
-    An adaptive plan does not report its partitioning, so this one write is
-    planned without AQE; it is a single shuffle of a written table.  Spark
-    keeps a partitioning that is not coarser than its default number.
-    """
+    """Write `df` to a table bucketed by `keys`, so that joins on them shuffle the other side only."""
     spark = df.sparkSession
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = durable(df)
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        return durable_rows(table.repartition(max(least, partitions), *keys))
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    path = f"{checkpoint_folder(spark)}/tables/{name}"
+    writer = df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys)
+    writer.option("path", path).saveAsTable(name)
+    return spark.table(name)

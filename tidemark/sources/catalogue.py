@@ -115,7 +115,11 @@ def append_rows(catalogue: Catalogue, table: str, rows: DataFrame, folder: str)
 
 
 def write_table(rows: DataFrame, table: str, folder: str, mode: str = "append") -> None:
-    """Write a table; the file table by month, each month's rows kept in few files."""
+    """Write a table with the model's types; the file table by month, each month's rows kept in few files.
+
+    Times are stored as the model has them, without a zone, so that bounds on them reach the scan.
+    """
+    rows = conform(rows, table, keep=tuple(c for c in rows.columns if c not in TABLES[table].schema.names))
     writer = rows.write.mode(mode)
     if table == "file":
         months = rows.withColumn("file_month", F.date_format("utc_file_date", "yyyy-MM"))

@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+import re
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from tidemark.functions.templates import fill, literal_prefix, to_pattern
 from tidemark.functions.text import basename, join_path
+from tidemark.session import durable
 
 _SCHEME = r"^[a-zA-Z0-9+.-]+:(//[^/]*(?=/))?"
 
+# Bytes of a file that are read at once.
+PORTION = 1 << 20
+
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -32,21 +45,119 @@ def listing_columns(folder: str, content: bool = False) -> list[Column]:
     return columns + ([F.col("content")] if content else [])
 
 
+def _full_uri(folder: str) -> str:
+    """The folder with its scheme; one without is a path all executors share."""
+    if "://" in folder:
+        return folder.rstrip("/")
+    if folder.startswith("file:"):
+        folder = folder.removeprefix("file:")
+    return "file://" + os.path.abspath(folder)
+
+
+def _store(uri: str) -> tuple[fs.FileSystem, str, str]:
+    """The store of a full URI, the path inside it, and what stands before such paths; names may hold any character."""
+    scheme, rest = uri.split("://", 1)
+    authority, _, inner = rest.partition("/")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + inner, "file://"
+    store, base = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    base = base.rstrip("/")
+    return store, f"{base}/{inner}", f"{scheme}://{authority}".removesuffix(base)
+
+
+def _scan(folders: DataFrame) -> DataFrame:
+    """What lies directly in each folder (`uri`), one task per share of the folders."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for uri in frame["uri"]:
+                store, inner, start = _store(uri)
+                rows = [
+                    (start + f.path, f.type == fs.FileType.Directory, f.size, f.mtime and f.mtime.replace(tzinfo=None))
+                    for f in store.get_file_info(fs.FileSelector(inner))
+                ]
+                yield pd.DataFrame(rows, columns=["uri", "is_folder", "length", "modified"])
+
+    return folders.select("uri").mapInPandas(run, "uri string, is_folder boolean, length bigint, modified timestamp_ntz")
+
+
+def _read(uri: str, take: Callable[[bytes], None]) -> None:
+    store, inner, _start = _store(uri)
+    with store.open_input_stream(inner) as stream:
+        while part := stream.read(PORTION):
+            take(part)
+
+
+def digested(listing: DataFrame) -> DataFrame:
+    """Add `shasum`, the SHA-1 of each listed file (`uri`), read in portions, so files may be of any size."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sums = []
+            for uri in frame["uri"]:
+                total = hashlib.sha1()
+                _read(uri, total.update)
+                sums.append(total.hexdigest())
+            yield frame.assign(shasum=sums)
+
+    return listing.mapInPandas(run, StructType([*listing.schema.fields, StructField("shasum", StringType())]))
+
+
+def _with_content(listing: DataFrame) -> DataFrame:
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(len(frame)):
+                parts: list[bytes] = []
+                one = frame.iloc[at:at + 1]
+                _read(one["uri"].iloc[0], parts.append)
+                yield one.assign(content=[b"".join(parts)])
+
+    return listing.mapInPandas(run, StructType([*listing.schema.fields, StructField("content", BinaryType())]))
+
+
+def _glob(pattern: str) -> str:
+    """The expression of a file glob: ``*``, ``?``, ``[...]`` and ``{a,b}``."""
+    marks = {"*": ".*", "?": ".", "{": "(?:", "}": ")", "[": "[", "]": "]"}
+    out, depth = [], 0
+    for c in pattern:
+        depth += (c == "{") - (c == "}")
+        out.append("|" if c == "," and depth else marks.get(c) or re.escape(c))
+    return "^(?s:" + "".join(out) + ")$"
+
+
 def list_folder(
-    spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False, content: bool = False
+    spark: SparkSession, folder: str, glob: str = "*", recursive: bool = False, content: bool = False, digest: bool = False
 ) -> DataFrame:
-    """Files of a folder, or of its whole tree, each path once.
+    """All files of a folder, or of its whole tree, each path once.
 
-    Without `content` the column is pruned and no file is opened.
-    `relative_path` is the path below `folder`.  As in any Spark read, empty
-    files and names that start with ``_`` or ``.`` are not listed.
+    Empty files and names that start with ``_`` or ``.`` are listed like any
+    other.  A tree is descended level by level, each level one job over its
+    folders, so no list of files passes the driver.  No file is opened unless
+    `content` or `digest` (column `shasum`) is asked for.  `relative_path` is
+    the path below `folder`, `uri` the path with its scheme.
     """
-    reader = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
+    start = _full_uri(folder)
+    level = durable(_scan(spark.createDataFrame([(start,)], "uri string")))
+    levels = [level]
+    while recursive:
+        folders = level.where("is_folder").select("uri")
+        if folders.isEmpty():
+            break
+        level = durable(_scan(folders.repartition(spark.sparkContext.defaultParallelism)))
+        levels.append(level)
+    files = reduce(DataFrame.unionByName, levels).where("NOT is_folder")
+    if glob != "*":
+        files = files.where(basename(F.col("uri")).rlike(_glob(glob)))
+    path = F.regexp_replace("uri", _SCHEME, "")
+    root = F.lit(re.sub(_SCHEME, "", start).rstrip("/") + "/")
+    listing = files.select(
+        path.alias("path"), basename(path).alias("filename"),
+        F.when(path.startswith(root), path.substr(F.length(root) + 1, F.length(path))).alias("relative_path"),
+        "length", "modified", "uri",
     )
-    return reader.load(folder).select(*listing_columns(folder, content)).dropDuplicates(["path"])
+    if digest:
+        listing = digested(listing)
+    return _with_content(listing) if content else listing
 
 
 def incoming(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
