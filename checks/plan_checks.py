@@ -181,6 +181,28 @@ def _(t):
     ).select("process_id", "day", "keywords")
 
 
+@query(
+    "plan04_processes_by_name",
+    f"WITH {AFFECTED} SELECT process_id, day, keywords FROM aff WHERE process_id IN (1, 2, 5, 6, 9, 10, 21, 32)",
+)
+def _(t):
+    names = ["make_1", 2, "make_5", "make_6", 9, "10", "make_21", "make_32", "no such process"]
+    return reprocess.affected(plan_catalogue(t), _queue(t), only=names).select("process_id", "day", "keywords")
+
+
+@query(
+    "plan17_range_by_name",
+    f"""
+    WITH {AFFECTED} SELECT process_id FROM v_process WHERE process_id IN (1, 2, 6, 9)
+    """,
+)
+def _(t):
+    c = plan_catalogue(t)
+    by_name = reprocess.chosen_processes(c, ["make_1", "make_2", 6, 9])
+    named = reprocess.plan_range(c, ["make_1", "make_2", 6, 9], "2024-01-05", "2024-01-25").select("process_id").distinct()
+    return by_name.join(named, "process_id", "left").select("process_id")
+
+
 @query("plan05_code_of_cell", f"WITH {CODED} SELECT process_id, day, keywords, code_id, reason FROM plan2")
 def _(t):
     c = plan_catalogue(t)

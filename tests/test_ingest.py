@@ -166,6 +166,35 @@ def test_rounds_until_the_queue_is_empty(spark):
         "cat_20160103_v1.0.0.txt": "run"}
 
 
+def test_user_inspectors_claim_in_their_turn(spark):
+    s = Small()
+    first = s.product("first", form="shared_{Y}{m}{d}_v{VERSION}.dat")
+    second = s.product("second", form="odd")
+    c = s.catalogue(spark)
+    rules = ingest.inspection_rules(c, trace_products(c))
+    listing = spark.createDataFrame(
+        [("shared_20120101_v1.0.0.dat", "in/a", b"late"), ("blob.bin", "in/b", b"20120203"), ("empty.bin", "in/c", b"")],
+        "filename string, path string, content binary").selectExpr("*", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS modified")
+
+    def look(frame):
+        import pandas as pd
+
+        out = []
+        for name, content in zip(frame["filename"], frame["content"]):
+            text = bytes(content).decode()
+            day = pd.Timestamp(text) if text.isdigit() else None
+            out.append((name, 2, second, day and day.date(), 0.0, 1, 0, 0, day, day))
+        return pd.DataFrame(out, columns=["filename", "inspector_id", "product_id", "utc_file_date", "data_level",
+                                          "interface_version", "quality_version", "revision_version", "utc_start_time", "utc_stop_time"])
+
+    inspected = ingest.inspect_with(
+        listing, look, "filename string, inspector_id bigint, product_id bigint, utc_file_date date, data_level double, "
+        "interface_version smallint, quality_version smallint, revision_version smallint, utc_start_time timestamp_ntz, utc_stop_time timestamp_ntz")
+    claimed, left = ingest.classify(listing, rules, inspected)
+    assert {r.filename: r.product_id for r in claimed.collect()} == {"shared_20120101_v1.0.0.dat": first, "blob.bin": second}
+    assert {r.filename: r.reason for r in left.collect()} == {"empty.bin": "incomplete: utc_file_date,utc_start_time,utc_stop_time"}
+
+
 def test_side_output_is_text_only(spark, tmp_path):
     results = spark.createDataFrame(
         [("RUN_a", "ok", None, "hello", "x"), ("RUN_b", "failed", "e", None, None)], derive.RESULT)

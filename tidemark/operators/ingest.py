@@ -118,12 +118,17 @@ def incomplete(required: tuple[str, ...] = REQUIRED) -> Column:
     return F.when(F.size(missing) > 0, F.concat(F.lit("incomplete: "), F.array_join(missing, ",")))
 
 
-def classify(listing: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame]:
+def classify(
+    listing: DataFrame, rules: DataFrame, inspected: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Claimed files with their metadata, and files no rule could claim with the reason.
 
     Rules are tried in inspector order; one that matches but leaves a
     required field empty does not claim the file.  `listing` has `filename`
-    (unique), `path` and, if known, `modified` and `shasum`.
+    (unique), `path` and, if known, `modified` and `shasum`.  `inspected`
+    are claims of user inspectors, from :func:`inspect_with`: `filename`,
+    `inspector_id`, `product_id` and whatever metadata they know.  They take
+    their place in inspector order and fall under the same rules.
     """
     present = listing.select(
         "filename", "path",
@@ -132,6 +137,13 @@ def classify(listing: DataFrame, rules: DataFrame) -> tuple[DataFrame, DataFrame
         F.lit(True).alias("exists_on_disk"),
     )
     candidates = extract_metadata(match_patterns(present, "filename", rules)).withColumn("reason", incomplete())
+    if inspected is not None:
+        facts = [c for c in inspected.columns if c == "filename" or c not in present.columns]
+        claims = present.join(inspected.select(*facts), "filename")
+        for column in REQUIRED:
+            if column not in claims.columns:
+                claims = claims.withColumn(column, F.lit(None).cast(candidates.schema[column].dataType))
+        candidates = candidates.unionByName(claims.withColumn("reason", incomplete()), allowMissingColumns=True)
     # The best candidate of each name; a complete one always goes first.
     best = first_seen(candidates, ["filename"], [F.col("reason").isNotNull(), F.col("inspector_id")])
     claimed = best.where("reason IS NULL").drop(
@@ -191,19 +203,20 @@ def accept(claimed: DataFrame, catalogue: Catalogue, unique: tuple[str, ...] | N
 
 def ingest_batch(
     listing: DataFrame, catalogue: Catalogue, rules: DataFrame, product_trace: DataFrame, root: str,
-    unique: tuple[str, ...] | None = None,
+    unique: tuple[str, ...] | None = None, inspected: DataFrame | None = None,
 ) -> Ingested:
     """Take a batch of incoming files into the catalogue.
 
     Names already catalogued, names no rule claims and repeated versions go
     to the quarantine.  Accepted files are numbered in name order from the
-    highest id on, so a rerun of the batch gives the same ids.
+    highest id on, so a rerun of the batch gives the same ids.  `inspected`
+    holds the claims of user inspectors, see :func:`classify`.
     """
     listing = first_seen(listing, ["filename"], ["path"])
     known = catalogue.file.select("filename")
     old = listing.join(known, "filename", "left_semi").select(
         "filename", "path", F.lit("name already in the catalogue").alias("reason"))
-    claimed, unclaimed = classify(listing.join(known, "filename", "left_anti"), rules)
+    claimed, unclaimed = classify(listing.join(known, "filename", "left_anti"), rules, inspected)
     claimed = durable(claimed)
     accepted, repeated = accept(claimed, catalogue, unique)
     highest = catalogue.file.agg(F.coalesce(F.max("file_id"), F.lit(0))).scalar()

@@ -43,6 +43,7 @@ from tidemark.operators.catalogue import (
     in_date_range,
     newest,
     newest_ids,
+    resolve,
     select_files,
 )
 from tidemark.operators.skew import join_to_groups
@@ -92,8 +93,15 @@ def _near(files: DataFrame, cells: DataFrame) -> DataFrame:
 # -- affected cells ---------------------------------------------------------
 
 
+def chosen_processes(catalogue: Catalogue, keys: list[int | str]) -> DataFrame:
+    """The processes (`process_id`) of a list of ids and names; what matches nothing is left out."""
+    given = catalogue.process.sparkSession.createDataFrame([(str(k),) for k in keys], "key string")
+    found = resolve(given, catalogue.process, "process_id", "process_name")
+    return found.where("id IS NOT NULL").select(F.col("id").alias("process_id")).distinct()
+
+
 def affected(
-    catalogue: Catalogue, queue: DataFrame, skip_run: bool = False, only: list[int] | None = None,
+    catalogue: Catalogue, queue: DataFrame, skip_run: bool = False, only: list[int | str] | None = None,
     neighbours: bool = False,
 ) -> DataFrame:
     """Cells to plan for the queued files (`file_id`, `version_bump`).
@@ -101,7 +109,8 @@ def affected(
     Files that are not newest trigger nothing.  A file triggers every day its
     data touch.  With `neighbours` it also triggers the days that use it as
     yesterday's or tomorrow's input.  A timebase that cannot be planned
-    leaves its rows with a reason.
+    leaves its rows with a reason.  `only` limits the processes, given by id
+    or name.
     """
     files = catalogue.file.select(
         "file_id", "product_id", "utc_file_date", "process_keywords",
@@ -115,7 +124,7 @@ def affected(
     if skip_run:
         process = process.where(~F.col("timebase").eqNullSafe("RUN"))
     if only is not None:
-        process = process.where(F.col("process_id").isin(only))
+        process = process.join(chosen_processes(catalogue, only), "process_id", "left_semi")
     links = catalogue.productprocesslink.select(
         "process_id", F.col("input_product_id").alias("product_id"), "yesterday", "tomorrow")
     first, last = F.col("_first"), F.col("_last")
@@ -568,7 +577,7 @@ def commands(runs: DataFrame, paths: DataFrame, out_dir: str) -> DataFrame:
 
 
 def plan_changes(
-    catalogue: Catalogue, queue: DataFrame, skip_run: bool = False, only: list[int] | None = None,
+    catalogue: Catalogue, queue: DataFrame, skip_run: bool = False, only: list[int | str] | None = None,
     neighbours: bool = False,
 ) -> DataFrame:
     """Everything the queued files make necessary, one row per cell with its outcome."""
@@ -611,12 +620,16 @@ def range_inputs(catalogue: Catalogue, processes: DataFrame, first, last) -> Dat
 
 
 def plan_range(
-    catalogue: Catalogue, processes: DataFrame, first, last, version_bump: int | None = None, update: bool = False
+    catalogue: Catalogue, processes: DataFrame | list[int | str], first, last, version_bump: int | None = None,
+    update: bool = False,
 ) -> DataFrame:
     """Plan processes over a range of days: by force, with a bump, or only what is out of date.
 
-    Only `update` leaves out rows that are not runnable.
+    The processes are a table of ids (`process_id`) or a list of ids and
+    names.  Only `update` leaves out rows that are not runnable.
     """
+    if not isinstance(processes, DataFrame):
+        processes = chosen_processes(catalogue, processes)
     if update and version_bump is not None:
         raise ValueError("give update or a version bump, not both")
     rows = range_inputs(catalogue, processes, first, last).withColumn(
