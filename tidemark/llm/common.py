@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 import zlib
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,3 +56,19 @@ def fold_of(doc_id) -> int:
 def fold_column(doc_id: Column) -> Column:
     """The same remainder in Spark."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4))
+
+
+def slices(batches: Iterator, rows: int = 1_000) -> Iterator:
+    """Arrow batches in portions of at most so many rows, which bounds what is made of them at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def worker_store() -> dict:
+    """A dict that lives as long as the worker process, so that caches outlive a task.
+
+    What is kept there must be bounded and must not change results.
+    """
+    name = "_tidemark_worker_store"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import partitions, quoted, read_table, scratch
+from tidemark.llm.common import partitions, quoted, read_table, scratch, slices
 from tidemark.llm.minhash import mix, node_of
 from tidemark.operators.skew import join_to_groups
 from tidemark.session import durable
@@ -38,8 +38,10 @@ BASE = 0x9E3779B97F4A7C15
 CELLS = (343, 49, 7, 1)
 #: Bytes of a text handled at once, next to what overlaps; a place in a portion fits in PLACE_BITS.
 PORTION, PLACE_BITS = 4_000_000, 23
-ROW = "node binary, place bigint, low bigint, high bigint, gram bigint, cell bigint, inner bigint, outer bigint, open boolean"
-NAMES = [field.split()[0] for field in ROW.split(", ")]
+#: A run of windows with one anchor, and a cell of it in a later round.
+RUN = "node binary, place int, low smallint, high smallint, gram bigint, outer bigint"
+CELL = RUN + ", cell smallint, inner bigint, open boolean"
+KINDS = {"place": np.int32, "low": np.int16, "high": np.int16, "cell": np.int16, "open": bool}
 
 
 class Powers:
@@ -104,7 +106,11 @@ def anchors_of(data: bytes, length: int, powers: Powers) -> list[np.ndarray]:
         anchor = places[first]
         for column, values in zip(out, (anchor + at, anchor - last, anchor - first, hashes[anchor].view(np.int64))):
             column.append(values)
-    return [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
+    place, low, high, gram = (np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
+    # A run that the end of a portion has cut is one run.
+    first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]]) if len(place) else np.empty(0, np.int64)
+    last = np.r_[first[1:], len(place)] - 1 if len(place) else first
+    return [place[first], low[last], high[first], gram[first]]
 
 
 def cells_of(data: bytes, length: int, places: np.ndarray, cells: np.ndarray, size: int, powers: Powers):
@@ -131,64 +137,58 @@ def cells_of(data: bytes, length: int, places: np.ndarray, cells: np.ndarray, si
     return inner, outer
 
 
-def _batch(nodes: list[bytes], columns: list[list[np.ndarray]], opened: list[np.ndarray]) -> pa.RecordBatch:
-    arrays = [pa.array(nodes, pa.binary())] + [pa.array(np.concatenate(c) if c else np.empty(0, np.int64)) for c in columns]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(np.concatenate(opened) if opened else np.empty(0, bool))], names=NAMES)
+def _batch(nodes: list[bytes], columns: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
+    arrays = [pa.array(nodes, pa.binary())] + [
+        pa.array(np.concatenate(c or [np.empty(0)]).astype(KINDS.get(name, np.int64))) for name, c in columns.items()
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=["node", *columns])
 
 
-def _first_rank(texts: DataFrame, length: int) -> DataFrame:
-    """All runs of all texts, each as one cell; its inner string is the anchor."""
+def _runs(texts: DataFrame, length: int) -> DataFrame:
+    """All runs of all texts; the first rank of a run is its anchor."""
 
     def run(batches):
         powers = Powers()
-        for batch in batches:
-            nodes, columns, opened = [], [[] for _ in range(7)], []
+        for batch in slices(batches):
+            nodes, columns = [], {name: [] for name in ("place", "low", "high", "gram", "outer")}
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
                 data = text.encode()
                 place, low, high, gram = anchors_of(data, length, powers)
-                if not len(place):
-                    continue
-                zero = np.zeros(len(place), np.int64)
-                outer = cells_of(data, length, place, zero, CELLS[0], powers)[1]
+                outer = cells_of(data, length, place, np.zeros(len(place), np.int64), CELLS[0], powers)[1]
                 nodes += [node] * len(place)
-                opened.append(zero == 0)
-                for column, values in zip(columns, (place, low, high, gram, zero, gram, outer)):
+                for column, values in zip(columns.values(), (place, low, high, gram, outer)):
                     column.append(values)
-            yield _batch(nodes, columns, opened)
+            yield _batch(nodes, columns)
 
-    found = texts.select("node", "text").mapInArrow(run, ROW)
-    # A run that portions of a very long text have cut is one run.
-    return found.groupBy("node", "place", "gram", "cell", "inner", "outer").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.max("open").alias("open")
-    )
+    return texts.select("node", "text").mapInArrow(run, RUN)
 
 
 def _next_rank(going: DataFrame, kept: DataFrame, length: int, size_before: int, size: int) -> DataFrame:
     """The smaller cells of every cell that goes on."""
-    asked = going.groupBy("node").agg(F.collect_list(F.struct("place", "low", "high", "gram", "cell", "open")).alias("asked"))
+    fields = ("place", "low", "high", "gram", "cell", "open")
+    asked = going.groupBy("node").agg(F.collect_list(F.struct(*fields)).alias("asked"))
     share = size_before // size
 
     def run(batches):
         powers = Powers()
-        for batch in batches:
-            nodes, columns, opened = [], [[] for _ in range(7)], []
+        for batch in slices(batches):
+            nodes, columns = [], {name: [] for name in ("place", "low", "high", "gram", "outer", "cell", "inner", "open")}
             asked = batch.column("asked")
             for i, (node, text) in enumerate(zip(batch.column("node").to_pylist(), batch.column("text").to_pylist())):
                 rows = asked[i].values
                 place, low, high, gram, cell, is_open = (
-                    np.repeat(rows.field(f).to_numpy(zero_copy_only=False), share) for f in ("place", "low", "high", "gram", "cell", "open")
+                    np.repeat(rows.field(f).to_numpy(zero_copy_only=False).astype(bool if f == "open" else np.int64), share) for f in fields
                 )
                 cell = cell * share + np.tile(np.arange(share), len(cell) // share)
                 use = (cell * size <= high) & (cell * size + size - 1 >= low)
                 place, low, high, gram, cell, is_open = (x[use] for x in (place, low, high, gram, cell, is_open))
                 inner, outer = cells_of(text.encode(), length, place, cell, size, powers)
                 nodes += [node] * len(place)
-                opened.append(is_open)
-                for column, values in zip(columns, (place, low, high, gram, cell, inner, outer)):
+                for column, values in zip(columns.values(), (place, low, high, gram, outer, cell, inner, is_open)):
                     column.append(values)
-            yield _batch(nodes, columns, opened)
+            yield _batch(nodes, columns)
 
-    return kept.join(asked, "node").mapInArrow(run, ROW)
+    return kept.join(asked, "node").mapInArrow(run, CELL)
 
 
 def _rank_anew(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
@@ -235,42 +235,37 @@ def _bucketed_texts(spark: SparkSession, docs: DataFrame, text_col: str) -> Data
 def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     """(node, first, last): starts of windows of distinct `texts` (node, text) that also start elsewhere."""
     long_texts = texts.where(F.octet_length("text") >= length)
-    rows = durable(_first_rank(long_texts, length))
+    runs = durable(_runs(long_texts, length))
+    # Most anchors are unique; only their hashes are counted, and they go at once.
+    often = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1")
+    rows = join_to_groups(runs, often, ["gram"], "place").select(
+        "*", F.lit(0).cast("smallint").alias("cell"), F.col("gram").alias("inner"), F.lit(True).alias("open")
+    )
+    rows = durable(rows)
     found = []
     for number, size in enumerate(CELLS):
         again, going = _rank_anew(rows, size)
         found.append(again)
         if size > 1:
-            going = durable(going)
-            rows = durable(_next_rank(going, long_texts, length, size, CELLS[number + 1]))
+            rows = durable(_next_rank(durable(going), long_texts, length, size, CELLS[number + 1]))
     return reduce(DataFrame.unionByName, found)
 
 
-def drop_repeated_spans(
-    docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """Remove every byte covered by a `length`-byte string that also starts anywhere else.
-
-    Texts are UTF-8 bytes; strings are judged on the input and never cross
-    documents; overlaps count.  `length` is at least 344.  Returns one row per
-    document: id, ``n_bytes``, ``n_removed``, ``spans`` (start, end of the
-    maximal removed runs, in bytes) and ``kept`` (the remaining bytes).  A null
-    text is the empty text.  A text that occurs in several rows goes whole
-    if it is long enough, in all of them.  Ids may be null or repeat; no rows
-    give no rows.
-    """
+def _cleaned(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id and node of every row; for every distinct text its node, rows, sizes, spans and remaining bytes)."""
     if length <= CELLS[0]:
         raise ValueError(f"length must be over {CELLS[0]}")
-    spark = docs.sparkSession
-    texts = _bucketed_texts(spark, docs, text_col)
+    texts = _bucketed_texts(docs.sparkSession, docs, text_col)
     ids = durable(docs.select(quoted(id_col).alias("id"), node_of(quoted(text_col).cast("string")).alias("node")))
     copies = ids.groupBy("node").agg(F.count(F.lit(1)).alias("group_rows"))
     runs = repeated_windows(texts, length).groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     facts = copies.join(runs, "node", "left")
+    names = ["node", "group_rows", "n_bytes", "n_removed", "spans", "kept"]
+    kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary())
 
     def run(batches):
-        for batch in batches:
-            columns = [[], [], [], [], [], []]
+        for batch in slices(batches):
+            columns: list[list] = [[] for _ in names]
             runs = batch.column("runs")
             for i, (node, text, rows) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("node", "text", "group_rows")))):
                 data = text.encode()
@@ -290,27 +285,48 @@ def drop_repeated_spans(
                     kept.append(data[at:a])
                     at = b
                 kept.append(data[at:])
-                for column, value in zip(columns, (node, rows, len(data), sum(b - a for a, b in spans), [{"start": a, "end": b} for a, b in spans], b"".join(kept))):
+                removed = sum(b - a for a, b in spans)
+                for column, value in zip(columns, (node, rows, len(data), removed, [{"start": a, "end": b} for a, b in spans], b"".join(kept))):
                     column.append(value)
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], names=["node", "group_rows", "n_bytes", "n_removed", "spans", "kept"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    cleaned = texts.join(facts, "node").select("node", "text", "group_rows", "runs").mapInArrow(
+    return ids, texts.join(facts, "node").select("node", "text", "group_rows", "runs").mapInArrow(
         run, "node binary, group_rows bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     )
-    rows = ids.withColumn("spread", F.coalesce(F.xxhash64("id"), F.lit(0)))
-    return _join_texts(rows, cleaned, id_col)
 
 
-def _join_texts(rows: DataFrame, cleaned: DataFrame, id_col: str) -> DataFrame:
+def _per_row(ids: DataFrame, cleaned: DataFrame, id_col: str) -> DataFrame:
+    rows = ids.withColumn("spread", F.coalesce(F.xxhash64("id"), F.lit(0)))
     joined = join_to_groups(rows, cleaned, ["node"], "spread")
-    return joined.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "spans", "kept")
+    return joined.drop("node", "spread").withColumnRenamed("id", id_col)
 
 
-def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = drop_repeated_spans(read_table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+def drop_repeated_spans(
+    docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Remove every byte covered by a `length`-byte string that also starts anywhere else.
+
+    Texts are UTF-8 bytes; strings are judged on the input and never cross
+    documents; overlaps count.  `length` is at least 344.  Returns one row per
+    document: id, ``n_bytes``, ``n_removed``, ``spans`` (start, end of the
+    maximal removed runs, in bytes) and ``kept`` (the remaining bytes).  A null
+    text is the empty text.  A text that occurs in several rows goes whole
+    if it is long enough, in all of them.  Ids may be null or repeat; no rows
+    give no rows.
+    """
+    return _per_row(*_cleaned(docs, length, id_col, text_col), id_col)
+
+
+def removal_digests(
+    docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """As `drop_repeated_spans`, with the remaining bytes as a digest: those of equal texts are made once and not moved."""
+    ids, cleaned = _cleaned(docs, length, id_col, text_col)
+    cleaned = cleaned.select(
+        "node", "group_rows", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+    return _per_row(ids, durable(cleaned), id_col)
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removal_digests(read_table(spark, sf_dir, "documents"))
