@@ -87,16 +87,19 @@ def test_every_coordinate_fills_and_depends_on_the_set_only():
 def test_members_that_the_leader_does_not_join_are_still_compared(spark, monkeypatch):
     texts = {b"a" * 16: "p q r s t u v w x y", b"b" * 16: "k l m n o a b c d e", b"c" * 16: "k l m n o a b c d e f"}
     hashes = minhash.WordHashes()
-    rows = []
+    rows, full = [], []
     for node, text in texts.items():
         items = minhash.shingles(text, 1, hashes)
         rows.append((node, len(items), minhash.marks_of(minhash.sketch(items))))
+        full.append((node, items.astype("<u8").tobytes()))
+    sets = spark.createDataFrame(full, "node binary, items binary")
+    assert {bytes(r.node): r.own for r in minhash._own_shingles(sets.select("node"), sets).collect()} == {b"a" * 16: 10, b"c" * 16: 1}
     nodes = spark.createDataFrame(rows, "node binary, n bigint, marks binary")
     members = spark.createDataFrame([(1, n, b"a" * 16) for n in texts], "band bigint, node binary, leader binary")
     none = connected_components(spark.createDataFrame([], "a binary, b binary"))
     for cell in (1, 2_000):
         monkeypatch.setattr(minhash, "CELL", cell)
-        got = minhash._rest_of_buckets(members, none, nodes, 80).collect()
+        got = minhash._rest_of_buckets(members, none, nodes, sets, 80).collect()
         assert [(bytes(r.a), bytes(r.b)) for r in got] == [(b"b" * 16, b"c" * 16)]
 
 
