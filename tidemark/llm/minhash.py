@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, quoted, read_table, whole_rows
+from tidemark.llm.common import WORD, quoted, read_table, slices, whole_rows
 from tidemark.llm.components import connected_components
 from tidemark.operators.skew import join_to_groups
 from tidemark.session import durable
@@ -206,12 +206,30 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, text_col: str) -> Data
     return texts.join(wanted, "node", "left_semi").mapInArrow(run, "node binary, items binary")
 
 
-def _rest_of_buckets(members: DataFrame, components: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+def _own_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, own): shingles that no other of the given nodes has."""
+
+    def run(batches):
+        for batch in slices(batches):
+            sizes = [len(i) // 8 for i in batch.column("items").to_pylist()]
+            items = np.frombuffer(b"".join(batch.column("items").to_pylist()), "<i8")
+            nodes = batch.column("node").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            yield pa.RecordBatch.from_arrays([nodes, pa.array(items)], names=["node", "item"])
+
+    listed = sets.join(nodes, "node", "left_semi").mapInArrow(run, "node binary, item bigint")
+    single = listed.groupBy("item").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).where("times = 1")
+    return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _rest_of_buckets(members: DataFrame, components: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket that stars through its leader have not joined, if sizes and marks allow a link.
 
     In each bucket the members outside the leader's component are compared
     with all others of another component: a grid of cells of bounded size,
     dealt by (bucket, cell), of which only the pairs that pass are returned.
+    A shingle that no other node in question has is in no intersection, which
+    bounds the similarity of any pair from above; in a large family of edited
+    copies this rejects nearly all that the marks let through.
     """
     least = least_agreement(percent)
     labelled = members.alias("m").join(components.alias("c"), F.col("m.node") == F.col("c.node"), "left").select(
@@ -226,13 +244,16 @@ def _rest_of_buckets(members: DataFrame, components: DataFrame, nodes: DataFrame
     ).where("strays > 0").select(
         "band", F.ceil(F.col("size") / CELL).cast("int").alias("columns"), F.ceil(F.col("strays") / CELL).cast("int").alias("rows")
     )
+    asked_for = labelled.join(open_, "band").select("node").distinct()
+    own = durable(_own_shingles(asked_for, sets))
+    nodes = nodes.select("node", "n", "marks").join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     rows = (
-        labelled.join(open_, "band").alias("l").join(nodes.select("node", "n", "marks").alias("n"), F.col("l.node") == F.col("n.node"))
-        .select("band", "l.node", "component", "stray", "n.n", "n.marks", "rows", "columns",
+        labelled.join(open_, "band").alias("l").join(nodes.alias("n"), F.col("l.node") == F.col("n.node"))
+        .select("band", "l.node", "component", "stray", "n.n", "n.own", "n.marks", "rows", "columns",
                 F.pmod(F.xxhash64("l.node", "band"), F.col("rows")).cast("int").alias("row"),
                 F.pmod(F.xxhash64("band", "l.node"), F.col("columns")).cast("int").alias("column"))
     )
-    base = ["band", "node", "component", "n", "marks"]
+    base = ["band", "node", "component", "n", "own", "marks"]
     asked = rows.where("stray").select(*base, F.lit(True).alias("asks"), "row", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"))
     asks_all = rows.select(*base, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), "column")
 
@@ -240,11 +261,12 @@ def _rest_of_buckets(members: DataFrame, components: DataFrame, nodes: DataFrame
         out = []
         ask, other = cell[cell.asks], cell[~cell.asks].reset_index(drop=True)
         marks = np.frombuffer(b"".join(other.marks), np.uint8).reshape(-1, COORDINATES)
-        sizes, labels = other.n.to_numpy(), other.component.to_numpy()
-        for node, component, n, mark in zip(ask.node, ask.component, ask.n, ask.marks):
-            fits = (marks == np.frombuffer(mark, np.uint8)).sum(axis=1) >= least
-            fits &= np.minimum(sizes, n) * 100 >= np.maximum(sizes, n) * percent
-            for i in np.flatnonzero(fits):
+        sizes, shared, labels = other.n.to_numpy(), (other.n - other.own).to_numpy(), other.component.to_numpy()
+        for node, component, n, own, mark in zip(ask.node, ask.component, ask.n, ask.own, ask.marks):
+            common = np.minimum(shared, n - own)  # at most
+            fits = np.flatnonzero(100 * common >= percent * (sizes + n - common))
+            fits = fits[(marks[fits] == np.frombuffer(mark, np.uint8)).sum(axis=1) >= least]
+            for i in fits:
                 if labels[i] != component:
                     out.append((min(node, other.node[i]), max(node, other.node[i])))
         return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
@@ -283,7 +305,7 @@ def near_duplicates(
     sets = durable(_sets(docs, members.select("node").distinct(), width, text_col))
     links = durable(_verified(stars, sets, percent))
     components = connected_components(links)
-    rest = durable(_rest_of_buckets(members, durable(components), nodes, percent))
+    rest = durable(_rest_of_buckets(members, durable(components), nodes, sets, percent))
     more = durable(_verified(rest, sets, percent))
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))
