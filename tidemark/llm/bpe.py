@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import quoted, read_table, type_of
+from tidemark.llm.common import quoted, read_table, slices, type_of
 
 #: Pieces handled at once, so that a very long text is never held as one list of pieces.
 PIECES = 50_000
@@ -272,7 +272,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col: str = "do
 
     def run(batches):
         encoder = Encoder(path, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             ids = [encoder.encode(t) if t else b"" for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -295,7 +295,7 @@ def decode_documents(encoded: DataFrame, path: str, id_col: str = "doc_id") -> D
         bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             bytes_of[rank] = token
-        for batch in batches:
+        for batch in slices(batches):
             texts, sizes = [], []
             for ids in batch.column("ids").to_pylist():
                 stream, size, out = Utf8Stream(), 0, []
