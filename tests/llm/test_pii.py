@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 
 from hypothesis import given, settings
@@ -83,6 +85,50 @@ def test_many_terms_are_joined_and_count_the_same(spark, monkeypatch):
     assert sorted(str(r) for r in pii.personal_spans(documents(spark, rows)).collect()) == few
 
 
+def test_terms_anywhere_in_the_entity_s_documents(spark):
+    """Far from the value in every document, close to it in few, and mentioned more than once."""
+    fill = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [(i, f"z@mail.example {fill} Zorblat {fill} {'Quexit ' * (i < 3)}z@mail.example {fill} Quexit") for i in range(8)]
+    rows += [(50 + i, f"{fill} Namely Betas Gammas") for i in range(60)]
+    clean = {r.doc_id: r.clean_text for r in pii.sanitise(documents(spark, rows)).collect()}
+    for i, text in rows:
+        assert clean[i] == text.replace("z@mail.example", "[email]").replace("Zorblat", "[name2]").replace("Quexit", "[name2]")
+
+
+def test_pairs_as_counted_document_by_document(spark):
+    """All shares by plain counts over whole documents, some terms with several entities."""
+    rng = random.Random(3)
+    vocabulary = [f"{a}{b}" for a in ("kor", "Mal", "zif", "Tun", "x9") for b in ("a", "enta", "osity")]
+    rows = []
+    for i in range(120):
+        who = rng.sample(range(12), rng.choice([0, 0, 1, 1, 2]))
+        own = [vocabulary[(3 * w + j) % 15] for w in who for j in range(2)] + [f"only{w}" for w in who]
+        said = own + rng.choices(vocabulary[10:], k=6) + [f"p{w}@q.example" for w in who] + ["common"] * 20
+        rng.shuffle(said)
+        rows.append((i, " ".join(said)))
+    n_doc, held, words = len(rows), {}, {}
+    for i, text in rows:
+        held[i] = {pii.entity_of(k, text[a:b]) for k, a, b in pii.base_spans(text)}
+        words[i] = {m[0] for m in pii.TERM.finditer(text)}
+    lower, looks = ({i: {f(w) for w in words[i]} for i in words} for f in (str.lower, pii.shape_of))
+
+    def share(entity, word, of):
+        with_entity = [i for i in held if entity in held[i]]
+        both, n_word = sum(word in of[i] for i in with_entity), sum(word in of[i] for i in of)
+        return both, math.log(both * n_doc / (len(with_entity) * n_word)) / math.log(n_doc / len(with_entity)) if both else 0
+
+    for r in pii.personal_spans(documents(spark, rows), with_text=True).collect():
+        base, want = pii.base_spans(r.text), []
+        for m in pii.TERM.finditer(r.text):
+            if all(m.end() <= a or m.start() >= b for _, a, b in base):
+                strict = [
+                    share(e, pii.shape_of(m[0]), looks)[1] >= pii.THRESHOLD for e in held[r.doc_id]
+                    for both, s in [share(e, m[0].lower(), lower)] if both >= pii.LEAST_JOINT and s >= pii.THRESHOLD
+                ]
+                want += [("removed" if any(strict) else "general", *m.span())] if strict else []
+        assert [(pii.KINDS[s.kind], s.start, s.end) for s in r.spans if s.kind >= 4] == want
+
+
 def test_empty_table(spark):
     assert pii.personal_spans(documents(spark, [])).collect() == []
 

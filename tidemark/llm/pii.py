@@ -1,15 +1,17 @@
 """Personal data: fixed kinds, and terms that give the people behind them away.
 
 Mail and network addresses, cards and phone numbers are found by their form;
-each distinct value is a protected entity.  How much a nearby term reveals of
-an entity is taken from co-occurrence over the whole corpus, as the share of
-the entity's information that the term's presence conveys:
+each distinct value is a protected entity.  How much a term reveals of an
+entity is taken from co-occurrence over the whole corpus, as the share of the
+entity's information that the term's presence in a document conveys:
 
     log(n(entity, term) * N / (n(entity) * n(term))) / log(N / n(entity))
 
-where n counts documents.  1 means that the term occurs only with the entity.
-A term at or above the threshold is replaced by its general shape if that
-shape reveals less than the threshold, else it is removed.
+where n counts documents that hold the entity, or the term anywhere.  1 means
+that the term occurs only with the entity.  Wherever a document that holds the
+entity mentions a term at or above the threshold, the term is replaced by its
+general shape if that shape reveals less than the threshold, else it is
+removed.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
@@ -24,14 +27,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import quoted, read_table, type_of
+from tidemark.llm.common import quoted, read_table, slices, type_of
 from tidemark.operators.skew import join_to_groups
 from tidemark.session import durable
 
 #: Kinds in the order in which spans at one place are listed.
 KINDS = ("email", "ip", "card", "phone", "general", "removed")
-#: Words on either side of an entity that count as its neighbours.
-NEIGHBOURS = 8
 #: Documents in which an entity and a term must meet before their share is an estimate.
 LEAST_JOINT = 3
 #: Share of an entity's information that a term may reveal.
@@ -118,75 +119,70 @@ def shape_of(term: str) -> str:
     return f"{sort}{min(3, (len(term) + 3) // 4)}"
 
 
-def neighbours(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, str, int, int]]:
-    """(entity, term, start, end) of the words next to each span and in none."""
+def outside(text: str, spans: list[tuple[int, int]]) -> Iterator[re.Match]:
+    """The words of a text that touch none of the spans, which are given by start."""
     starts, ends = [], []  # the spans as stretches that do not overlap
-    for _, start, end in spans:
+    for start, end in spans:
         if ends and start <= ends[-1]:
             ends[-1] = max(ends[-1], end)
         else:
             starts.append(start)
             ends.append(end)
-    out = []
-    for kind, start, end in spans:
-        entity = entity_of(kind, text[start:end])
-        # Words are short; a longer stretch is read only if these characters hold too few.
-        before: list = []
-        reach = 40 * NEIGHBOURS
-        while True:
-            begin = max(0, start - reach)
-            before = [m for m in TERM.finditer(text, begin, start) if begin == 0 or m.start() > begin]
-            if begin == 0 or len(before) >= NEIGHBOURS:
-                break
-            reach *= 4
-        after = []
-        for m in TERM.finditer(text, end):
-            after.append(m)
-            if len(after) == NEIGHBOURS:
-                break
-        for m in before[-NEIGHBOURS:] + after:
-            i = bisect_right(ends, m.start())  # the first stretch that ends after the word begins
-            if i == len(ends) or starts[i] >= m.end():
-                out.append((entity, m[0], *m.span()))
-    return out
+    for m in TERM.finditer(text):
+        i = bisect_right(ends, m.start())  # the first stretch that ends after the word begins
+        if i == len(ends) or starts[i] >= m.end():
+            yield m
 
 
 def _found(docs: DataFrame, id_col: str, text_col: str, with_text: bool) -> DataFrame:
-    """One row per document: key, id, base spans with their entities, neighbouring terms.
+    """One row per document: key, id, base spans with their entities, the text if it has spans or is asked for.
 
     The key numbers the rows within the tasks of this one write.
     """
     span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("entity", pa.int64())])
-    term = pa.struct([("entity", pa.int64()), ("term", pa.string()), ("shape", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches):
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            keys, spans, terms = [], [], []
+            keys, spans, texts = [], [], []
             for text in batch.column("text").to_pylist():
-                text = text or ""
-                base = base_spans(text)
+                base = base_spans(text or "")
                 keys.append(key)
                 key += 1
                 spans.append([{"start": a, "kind": KINDS.index(k), "end": b, "entity": entity_of(k, text[a:b])} for k, a, b in base])
-                terms.append([
-                    {"entity": e, "term": t.lower(), "shape": shape_of(t), "start": a, "end": b}
-                    for e, t, a, b in neighbours(text, base)
-                ] if base else [])
+                texts.append(text if base or with_text else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), batch.column("id"), pa.array(spans, pa.list_(span)), pa.array(terms, pa.list_(term)),
-                 batch.column("text") if with_text else pa.nulls(len(keys), pa.string())],
-                names=["key", "id", "spans", "terms", "text"],
+                [pa.array(keys, pa.int64()), batch.column("id"), pa.array(spans, pa.list_(span)), pa.array(texts, pa.string())],
+                names=["key", "id", "spans", "text"],
             )
 
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
     return rows.mapInArrow(
-        run,
-        f"key bigint, id {type_of(rows, 'id')}, spans array<struct<start:bigint,kind:int,end:bigint,entity:bigint>>, "
-        "terms array<struct<entity:bigint,term:string,shape:string,start:bigint,end:bigint>>, text string",
+        run, f"key bigint, id {type_of(rows, 'id')}, spans array<struct<start:bigint,kind:int,end:bigint,entity:bigint>>, text string"
     )
 
 
+def _words(texts: DataFrame) -> DataFrame:
+    """(key, term, shapes): each distinct word of each text, with the shapes of its spellings."""
+
+    def run(batches):
+        for batch in slices(batches):
+            keys, terms, shapes = [], [], []
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                forms: dict = {}
+                for word in set(TERM.findall(text)):
+                    forms.setdefault(word.lower(), set()).add(shape_of(word))
+                keys += [key] * len(forms)
+                terms += forms
+                shapes += map(sorted, forms.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()), pa.array(terms, pa.string()), pa.array(shapes, pa.list_(pa.string()))],
+                names=["key", "term", "shapes"],
+            )
+
+    return texts.select("key", "text").mapInArrow(run, "key bigint, term string, shapes array<string>")
+
+
 def _document_counts(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     """(word, is_shape, n): documents that hold each term in question, and each shape, over all documents.
 
@@ -237,38 +233,68 @@ def _share(both: Column, entity: Column, word: Column, total: int) -> Column:
     return F.when(entity < total, share).otherwise(F.lit(0.0))
 
 
+def _most_documents(n_entity: int, total: int, threshold: float) -> float:
+    """Documents above which no term conveys the threshold of an entity with up to `n_entity` documents."""
+    if not 0 < threshold <= 1 or not n_entity:
+        return float(total)
+    return n_entity * (total / n_entity) ** (1 - threshold) + 1
+
+
 def _revealing(found: DataFrame, docs: DataFrame, text_col: str, threshold: float, least_joint: int) -> DataFrame:
-    """(key, start, kind, end): mentions of terms to be generalised or removed."""
+    """(key, more): mentions of terms to be generalised or removed, as spans (start, kind, end)."""
     total = found.count()
-    entities = found.select(F.explode(F.array_distinct(F.transform("spans", lambda x: x["entity"]))).alias("entity")).groupBy(
-        "entity"
-    ).agg(F.count(F.lit(1)).alias("n_entity"))
-
-    def met(name: str) -> DataFrame:
-        """Documents in which each entity has a term, or a shape, next to it."""
-        pairs = F.array_distinct(F.transform("terms", lambda x: F.struct(x["entity"].alias("entity"), x[name].alias(name))))
-        return found.select(F.explode(pairs).alias("p")).select("p.*").groupBy("entity", name).agg(F.count(F.lit(1)).alias("n_both"))
-
-    frequent = durable(met("term").where(F.col("n_both") >= least_joint).join(entities, "entity"))
-    counts = durable(_document_counts(docs, frequent, text_col))
-    terms = (
-        frequent.join(counts.where("not is_shape").select(F.col("word").alias("term"), F.col("n").alias("n_word")), "term")
-        .where(_share(F.col("n_both"), F.col("n_entity"), F.col("n_word"), total) >= threshold)
+    held = found.where(F.size("spans") > 0)
+    holds = held.select("key", F.explode(F.array_distinct(F.transform("spans", lambda x: x["entity"]))).alias("entity"))
+    # Only an entity of so many documents can meet a term in as many.
+    frequent = holds.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= least_joint)
+    holds = durable(join_to_groups(holds, frequent.withColumn("group_rows", F.col("n_entity")), ["entity"], "key"))
+    words = durable(_words(held.join(holds.select("key").distinct(), "key", "left_semi")))
+    asked = durable(words.groupBy("term").agg(F.count(F.lit(1)).alias("group_rows")).where(F.col("group_rows") >= least_joint))
+    counts = durable(_document_counts(docs, asked, text_col))
+    n_word = F.col("n").alias("n_word")
+    # No entity meets a term in more documents than it has, so this bounds the share from above.
+    most = _share(F.col("n_entity"), F.col("n_entity"), F.col("n_word"), total)
+    top = holds.agg(F.max("n_entity")).first()[0] or 0
+    terms = asked.join(counts.where("not is_shape").select(F.col("word").alias("term"), n_word), "term")
+    pairs = join_to_groups(words, terms.where(F.col("n_word") <= _most_documents(top, total, threshold)), ["term"], "key")
+    pairs = durable(pairs.join(holds, "key").where(most >= threshold - 1e-9))
+    terms = durable(
+        pairs.groupBy("entity", "term", "n_entity", "n_word").agg(F.count(F.lit(1)).alias("n_both"))
+        .where((F.col("n_both") >= least_joint) & (_share(F.col("n_both"), F.col("n_entity"), F.col("n_word"), total) >= threshold))
         .select("entity", "term", F.col("n_both").alias("group_rows"))
     )
-    terms = durable(terms)
     shapes = (
-        met("shape").join(entities, "entity").join(terms.select("entity").distinct(), "entity", "left_semi")
-        .join(counts.where("is_shape").select(F.col("word").alias("shape"), F.col("n").alias("n_word")), "shape")
+        words.select("key", F.explode("shapes").alias("shape")).distinct()
+        .join(holds.join(terms.select("entity").distinct(), "entity", "left_semi"), "key")
+        .groupBy("entity", "shape", "n_entity").agg(F.count(F.lit(1)).alias("n_both"))
+        .join(counts.where("is_shape").select(F.col("word").alias("shape"), n_word), "shape")
         .select("entity", "shape", F.col("n_both").alias("group_rows"),
                 (_share(F.col("n_both"), F.col("n_entity"), F.col("n_word"), total) < threshold).alias("harmless"))
     )
-    mentions = found.where(F.size("terms") > 0).select("key", F.explode("terms").alias("t")).select("key", "t.*")
-    flagged = join_to_groups(mentions, terms, ["entity", "term"], "key")
+    flagged = join_to_groups(pairs, terms, ["entity", "term"], "key").select("key", "entity", "term", F.explode("shapes").alias("shape"))
     judged = join_to_groups(flagged, shapes, ["entity", "shape"], "key")
     kind = F.when(F.col("harmless"), F.lit(KINDS.index("general"))).otherwise(F.lit(KINDS.index("removed")))
-    # Next to two entities, the stricter treatment.
-    return judged.groupBy("key", "start", "end").agg(F.max(kind).cast("int").alias("kind"))
+    # With two entities, the stricter treatment.
+    rules = durable(
+        judged.groupBy("key", "term", "shape").agg(F.max(kind).cast("int").alias("kind"))
+        .groupBy("key").agg(F.collect_list(F.struct("term", "shape", "kind")).alias("rules"))
+    )
+
+    def run(batches):
+        for batch in slices(batches):
+            more = []
+            for text, spans, rules in zip(*(batch.column(c).to_pylist() for c in ("text", "spans", "rules"))):
+                kinds = {(r["term"], r["shape"]): r["kind"] for r in rules}
+                terms = {r["term"] for r in rules}
+                more.append([
+                    {"start": m.start(), "kind": kinds[t, shape_of(m[0])], "end": m.end()}
+                    for m in outside(text, [(s["start"], s["end"]) for s in spans]) if (t := m[0].lower()) in terms
+                ])
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(more, kind)], names=["key", "more"])
+
+    texts = held.select("key", "text", "spans").join(rules, "key").select("key", "text", "spans", "rules")
+    return texts.mapInArrow(run, "key bigint, more array<struct<start:bigint,kind:int,end:bigint>>")
 
 
 def personal_spans(
@@ -284,8 +310,7 @@ def personal_spans(
     no rows.
     """
     found = durable(_found(docs, id_col, text_col, with_text))
-    revealing = _revealing(found, docs, text_col, threshold, least_joint)
-    more = revealing.groupBy("key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
+    more = _revealing(found, docs, text_col, threshold, least_joint)
     base = F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     rows = found.join(more, "key", "left").select(
