@@ -91,3 +91,23 @@ def test_conflicting_labels_count_as_toxic_and_training_is_bounded(spark):
     labels = spark.createDataFrame([(i, 1, x) for i in range(400) for x in (0, 1)], "doc_id bigint, quality int, toxic int")
     rows = tx._training(docs, labels, "doc_id", "text", 50).collect()
     assert {r.toxic for r in rows} == {1} and 20 < len(rows) < 90
+
+
+def test_calibration_sums_all_segments(spark):
+    """As the score does, also of texts with more than fifty."""
+    rows = [(i, ("poison " * 6 + "plain " * 30) * (55 + i % 30) if i % 2 else "plain word other " * 300) for i in range(80)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    model = tx.fit(documents(spark, rows), labels)
+    fold = [(i, text) for i, text in rows if zlib.crc32(str(i).encode()) % 4 == 3]
+    found = [tx.significant(tx.scores_of(text, model), model) for _, text in fold]
+    assert max(map(len, found)) > 50
+    want = tx._logistic(np.log1p([sum(f[2] for f in one) for one in found]), np.array([float(i % 2) for i, _ in fold]))
+    assert np.allclose((model.slope, model.offset), want)
+
+
+def test_very_long_words_count(spark):
+    """By the letters that are kept, and by their shorter beginnings."""
+    training = spark.createDataFrame([("x" * 70 + "a " + "x" * 90 + " short", 1), ("short", 0)], "text string, toxic int")
+    counts = {r.word: (r.toxic, r.other) for r in tx._word_counts(training).collect()}
+    assert counts == {"x" * 64 + "*": (2, 0), "short": (1, 1)}
+    assert tx.features_of("x" * 70) == ["x" * 64 + "*", "xxxxxxx*", "xxxxx*", "xxx*"] and tx.features_of("x" * 64)[0] == "x" * 64

@@ -32,6 +32,8 @@ from tidemark.session import durable
 TRAIN_ROWS, FEATURES = 20_000, 60_000
 #: Lengths of the beginnings that a word's prior goes through.
 BEGINNINGS = (3, 5, 7)
+#: Letters of a word that are kept; longer words that agree on these are one.
+LONGEST = 64
 #: Words whose scores a worker remembers.
 CACHED_WORDS = 300_000
 #: Weight of each prior, as a number of uses.
@@ -56,14 +58,19 @@ class WordScores(dict):
         score = next((self.table[f] for f in features_of(word) if f in self.table), 0.0) - DRIFT
         if len(self) >= CACHED_WORDS:
             self.clear()
-        if len(word) <= 64:
+        if len(word) <= LONGEST:
             self[word] = score
         return score
 
 
+def counted_as(word: str) -> str:
+    """The word, or the beginning that stands for a very long one."""
+    return word if len(word) <= LONGEST else word[:LONGEST] + "*"
+
+
 def features_of(word: str) -> list[str]:
     """The word, then its beginnings from long to short, marked by a star."""
-    return [word, *(word[:n] + "*" for n in reversed(BEGINNINGS) if n < len(word))]
+    return [counted_as(word), *(word[:n] + "*" for n in reversed(BEGINNINGS) if n < len(word))]
 
 
 @dataclass(frozen=True)
@@ -172,7 +179,7 @@ def _word_counts(training: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                counts[bool(toxic)].update(w for w in tokens_of(text) if len(w) <= 64)
+                counts[bool(toxic)].update(map(counted_as, tokens_of(text)))
                 if len(counts[True]) + len(counts[False]) > HELD_WORDS:
                     yield hand_over()
         yield hand_over()
@@ -290,26 +297,31 @@ def fit(
     def run(batches):
         model = ToxicModel(*shared.value)
         for batch in batches:
-            best, sizes, each = [], [], []
+            best, sizes = [], []
             for text in batch.column("text").to_pylist():
                 values = scores_of(text, model)
-                found = [s for _, _, s in segments(values)]
                 sizes.append(len(values))
-                best.append(max(found, default=0.0))
-                each.append(sorted(found, reverse=True)[:50])
+                best.append(max((s for _, _, s in segments(values)), default=0.0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(sizes, pa.int64()), pa.array(best, pa.float64()), pa.array(each, pa.list_(pa.float64()))],
-                names=["toxic", "n", "best", "each"],
+                [batch.column("toxic"), pa.array(sizes, pa.int64()), pa.array(best, pa.float64())], names=["toxic", "n", "best"]
             )
 
-    held = training.where(fold == 3).select("toxic", "text").mapInArrow(run, "toxic int, n bigint, best double, each array<double>")
-    rows = held.collect()  # bounded by the training rows
+    held = training.where(fold == 3).select("toxic", "text")
+    rows = held.mapInArrow(run, "toxic int, n bigint, best double").collect()  # bounded by the training rows
     # Best segments of clean texts: rate * best - ln(n) has mean ln(scale) + Euler's constant.
     clean_best = [rate * r.best - math.log(r.n) for r in rows if r.toxic == 0 and r.n > 0]
     scale = math.exp(np.median(clean_best) + math.log(math.log(2))) if clean_best else 1.0
     known = ToxicModel(table, rate, max(scale, 1e-12), 1.0, 0.0)
-    evidence = np.array([sum(max(0.0, bits(s, r.n, known)) for s in r.each) for r in rows])
-    slope, offset = _logistic(np.log1p(evidence), np.array([float(r.toxic) for r in rows]))
+    scaled = docs.sparkSession.sparkContext.broadcast(known.plain())
+
+    def weigh(batches):
+        model = ToxicModel(*scaled.value)
+        for batch in batches:
+            found = [sum(f[2] for f in significant(scores_of(t, model), model)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.float64())], names=["toxic", "evidence"])
+
+    rows = held.mapInArrow(weigh, "toxic int, evidence double").collect()
+    slope, offset = _logistic(np.log1p([r.evidence for r in rows]), np.array([float(r.toxic) for r in rows]))
     return ToxicModel(table, rate, known.scale, slope, offset)
 
 
