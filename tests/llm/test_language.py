@@ -42,3 +42,10 @@ def test_no_labels_and_one_language(spark):
     unlabelled = docs.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert {(r.lang_pred, r.score) for r in language.predict_languages(docs, language.fit(unlabelled)).collect()} == {("und", 0.0)}
     assert {(r.lang_pred, r.score) for r in language.predict_languages(docs, language.fit(docs)).collect()} == {("en", 1.0)}
+
+
+def test_copies_and_null_texts_take_no_share_of_the_training(spark):
+    rows = [(i, f"text {i % 6} words" if i % 3 else None) for i in range(2_000)]
+    docs = documents(spark, rows)
+    wanted = {r.text for r in docs.where("text is not null").select("text").distinct().collect()}
+    assert {r.text for r in language._training(docs, "doc_id", "text", "lang", 10).collect()} == wanted

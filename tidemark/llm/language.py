@@ -97,13 +97,14 @@ def _training(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_
     """(lang, text) of at most about `train_rows` distinct texts per language, outside the held-out fold.
 
     Texts are chosen by a hash of their own, whatever their order and number of
-    copies; how many there are comes from a count over all rows.
+    copies; how many there are is a count of the distinct ones.
     """
     rows = docs.where(quoted(lang_col).isNotNull() & (fold_column(quoted(id_col)) != 2))
-    counts = {r.lang: r.n for r in rows.groupBy(quoted(lang_col).cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     named = rows.select(quoted(lang_col).cast("string").alias("lang"), quoted(text_col).cast("string").alias("text")).where(
         "text is not null"
     ).withColumn("draw", F.xxhash64("text"))
+    distinct = named.select("lang", "draw").distinct()
+    counts = {r.lang: r.n for r in distinct.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, train_rows / n))).otherwise(share)
