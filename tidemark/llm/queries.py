@@ -9,6 +9,7 @@ from tidemark.llm.language import op6_language_id
 from tidemark.llm.minhash import op8_minhash_dedup
 from tidemark.llm.mixing import op10_mix_sources
 from tidemark.llm.pii import op2_personal_data
+from tidemark.llm.source_divergence import OP13_SQL, op13_source_divergence
 from tidemark.llm.suffix_dedup import op9_suffix_dedup
 from tidemark.llm.token_counts import op7_token_counts
 from tidemark.llm.toxicity import op5_toxicity
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_minhash_dedup": op8_minhash_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mix_sources": op10_mix_sources,
+    "op13_source_divergence": op13_source_divergence,
 }
-ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL}
+ORACLES = {"op1_exact_dedup": OP1_SQL, "op4_embedding_dedup": OP4_SQL, "op13_source_divergence": OP13_SQL}
