@@ -8,6 +8,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +73,13 @@ def worker_store() -> dict:
     """
     name = "_tidemark_worker_store"
     return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+
+
+def best_of_groups(scores: np.ndarray, groups: np.ndarray, ids: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(scores, groups, ids) of the `top` of each group: highest score first, then the least id."""
+    order = np.lexsort((ids, -scores, groups))
+    scores, groups, ids = scores[order], groups[order], ids[order]
+    first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]]) if len(groups) else np.empty(0, np.int64)
+    place = np.arange(len(groups)) - np.repeat(first, np.diff(np.r_[first, len(groups)]))
+    keep = place < top
+    return scores[keep], groups[keep], ids[keep]
