@@ -214,9 +214,9 @@ def _visits(chosen: DataFrame, pages: DataFrame, top: int, most: float) -> DataF
 
     chosen = chosen.withColumn("share", F.floor(F.col("number") / QUERIES))
     # A page goes once to every share of queries that visits it.
-    wanted = chosen.select("node", "share").distinct()
+    wanted = chosen.select("node", F.col("share").alias("page_share")).distinct()
     read = pages.join(wanted, "node")
-    return chosen.groupBy("node", "share").cogroup(read.groupBy("node", "share")).applyInArrow(run, VISITED)
+    return chosen.groupBy("node", "share").cogroup(read.groupBy("node", "page_share")).applyInArrow(run, VISITED)
 
 
 def _searched(queries: DataFrame, pages: DataFrame, top: int, most: float, depth: int) -> tuple[DataFrame, int]:
@@ -296,8 +296,8 @@ def op12_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
   FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
