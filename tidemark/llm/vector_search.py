@@ -229,7 +229,9 @@ def _searched(queries: DataFrame, pages: DataFrame, top: int, most: float, depth
         worst = found.groupBy("number").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("worst")).where(F.col("n") >= top)
         reach = queries.join(worst.select("number", "worst"), "number", "left").select(
             "number", "packed", "norm2", F.coalesce("worst", F.lit(-(2**62))).alias("worst"),
-            F.coalesce(F.sqrt(F.greatest(F.col("norm2") + most - 2 * F.col("worst").cast("double"), F.lit(0.0))), F.lit(float("inf"))).alias("reach"),
+            F.when(F.col("worst").isNull(), F.lit(float("inf"))).otherwise(
+                F.sqrt(F.greatest(F.col("norm2") + most - 2 * F.col("worst").cast("double"), F.lit(0.0)))
+            ).alias("reach"),
         )
         slack = 1e-6 * (1 + math.sqrt(most))
         order = Window.partitionBy("number").orderBy("least", "node")
