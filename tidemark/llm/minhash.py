@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, quoted, read_table, slices, whole_rows
+from tidemark.llm.common import WORD, partitions, quoted, read_table, whole_rows
 from tidemark.llm.components import connected_components
 from tidemark.operators.skew import join_to_groups
 from tidemark.session import durable
@@ -26,8 +26,10 @@ from tidemark.session import durable
 #: 32 bands of 5: a pair of similarity 0.8 shares no band with probability 3e-6, one of 0.85 with 7e-9.
 BANDS, ROWS = 32, 5
 COORDINATES = BANDS * ROWS
-#: Members of a bucket that one task compares with as many others.
-CELL = 2_000
+#: Members of a bucket that one task compares with as many others, and the summed size of their sets.
+CELL, CELL_ITEMS = 2_000, 400_000
+#: Bits of the bitmap that holds back texts before their sets are made.
+BITMAP = 1 << 24
 CACHED_WORDS = 500_000
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 U64 = np.uint64
@@ -193,7 +195,11 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int, text_col: str) -> DataFrame:
-    """Full sets of the texts whose node is in `wanted`: (node, items as sorted 64-bit numbers)."""
+    """Full sets of the texts whose node is in `wanted`: (node, items as sorted 64-bit numbers).
+
+    A bitmap of the wanted nodes, of `BITMAP` bits at any size, holds back
+    most other texts before texts are shuffled.
+    """
 
     def run(batches):
         words = WordHashes()
@@ -202,77 +208,96 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, text_col: str) -> Data
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(items, pa.binary())], names=["node", "items"])
 
     text = quoted(text_col).cast("string")
-    texts = docs.select(node_of(text).alias("node"), text.alias("text")).groupBy("node").agg(F.first("text").alias("text"))
+    bit = F.pmod(F.xxhash64("node"), F.lit(BITMAP))
+    word, mask = F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, cast(bit % 64 as int))")
+    bitmap = wanted.withColumn("bit", bit).groupBy(word).agg(F.bit_or(mask).alias("bits"))
+    texts = docs.select(node_of(text).alias("node"), text.alias("text")).withColumn("bit", bit).withColumn("word", word)
+    texts = texts.join(F.broadcast(durable(bitmap)), "word").where(F.col("bits").bitwiseAND(mask) != 0)
+    texts = texts.groupBy("node").agg(F.first("text").alias("text"))
     return texts.join(wanted, "node", "left_semi").mapInArrow(run, "node binary, items binary")
 
 
-def _own_shingles(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, own): shingles that no other of the given nodes has."""
-
-    def run(batches):
-        for batch in slices(batches):
-            sizes = [len(i) // 8 for i in batch.column("items").to_pylist()]
-            items = np.frombuffer(b"".join(batch.column("items").to_pylist()), "<i8")
-            nodes = batch.column("node").take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
-            yield pa.RecordBatch.from_arrays([nodes, pa.array(items)], names=["node", "item"])
+def joining_links(cell: pd.DataFrame, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links of a cell that join components: each asking row against all others, on full sets.
 
-    listed = sets.join(nodes, "node", "left_semi").mapInArrow(run, "node binary, item bigint")
-    single = listed.groupBy("item").agg(F.count(F.lit(1)).alias("times"), F.min("node").alias("node")).where("times = 1")
-    return single.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    Rows have node, component, n, marks, items and asks.  What a link has
+    joined is one component from then on, so there are fewer links than rows.
+    """
+    least = least_agreement(percent)
+    labels, inverse = np.unique(cell.component.to_numpy(object), return_inverse=True)
+    root = np.arange(len(labels))
+    items = [np.frombuffer(i, "<u8") for i in cell["items"]]
+    sizes = np.array([len(i) for i in items])
+    begin = np.cumsum(sizes) - sizes
+    codes = np.unique(np.concatenate(items), return_inverse=True)[1]
+    here = np.zeros(codes.max() + 1, bool)
+    marks = np.frombuffer(b"".join(cell.marks), np.uint8).reshape(-1, COORDINATES)
+    nodes, asks = cell.node.to_numpy(object), cell.asks.to_numpy(bool)
+    others = np.flatnonzero(~asks)
+    links = []
+    for one in np.flatnonzero(asks):
+        n = sizes[one]
+        fits = others[root[inverse[others]] != root[inverse[one]]]
+        fits = fits[np.minimum(sizes[fits], n) * 100 >= np.maximum(sizes[fits], n) * percent]
+        fits = fits[(marks[fits] == marks[one]).sum(axis=1) >= least]
+        if not len(fits):
+            continue
+        mine = codes[begin[one]:begin[one] + n]
+        here[mine] = True
+        ends = np.cumsum(sizes[fits])
+        at = np.arange(ends[-1]) + np.repeat(begin[fits] - ends + sizes[fits], sizes[fits])
+        common = np.add.reduceat(here[codes[at]].astype(np.int64), ends - sizes[fits])
+        here[mine] = False
+        for other in fits[100 * common >= percent * (n + sizes[fits] - common)]:
+            x, y = root[inverse[one]], root[inverse[other]]
+            if x != y:
+                root[root == y] = x
+                links.append((nodes[one], nodes[other]))
+    return links
 
 
 def _rest_of_buckets(members: DataFrame, components: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket that stars through its leader have not joined, if sizes and marks allow a link.
-
-    In each bucket the members outside the leader's component are compared
-    with all others of another component: a grid of cells of bounded size,
-    dealt by (bucket, cell), of which only the pairs that pass are returned.
-    A shingle that no other node in question has is in no intersection, which
-    bounds the similarity of any pair from above; in a large family of edited
-    copies this rejects nearly all that the marks let through.
+    """Links (a, b) on full sets that stars through the leaders have left open, as far as they join components.
+
+    Buckets with the same leader, in whatever band, are one group.  In each
+    group the members outside the leader's component are compared with all
+    others of another component: a grid of cells, dealt by the summed sizes of
+    the sets, in each of which sets meet as arrays.  A cell returns fewer
+    links than it has rows.
     """
-    least = least_agreement(percent)
-    labelled = members.alias("m").join(components.alias("c"), F.col("m.node") == F.col("c.node"), "left").select(
-        "m.band", "m.node", "m.leader", F.coalesce("c.component", "m.node").alias("component")
+    pairs = members.select("leader", "node").distinct()
+    labelled = pairs.alias("m").join(components.alias("c"), F.col("m.node") == F.col("c.node"), "left").select(
+        "m.leader", "m.node", F.coalesce("c.component", "m.node").alias("component")
     )
     labelled = labelled.alias("m").join(components.alias("c"), F.col("m.leader") == F.col("c.node"), "left").select(
-        "m.band", "m.node", "m.component", (F.col("m.component") != F.coalesce("c.component", "m.leader")).alias("stray")
+        "m.leader", "m.node", "m.component", (F.col("m.component") != F.coalesce("c.component", "m.leader")).alias("stray")
     )
-    labelled = durable(labelled)
-    open_ = labelled.groupBy("band").agg(
-        F.count(F.lit(1)).alias("size"), F.sum(F.col("stray").cast("long")).alias("strays")
+    labelled = durable(labelled.join(nodes.select("node", "n", "marks"), "node"))
+
+    def cells(rows, size):
+        return F.greatest(F.ceil(rows / CELL), F.ceil(size / CELL_ITEMS)).cast("int")
+
+    stray = F.col("stray").cast("long")
+    open_ = labelled.groupBy("leader").agg(
+        F.count(F.lit(1)).alias("group_rows"), F.sum("n").alias("size"), F.sum(stray).alias("strays"), F.sum(stray * F.col("n")).alias("stray_size")
     ).where("strays > 0").select(
-        "band", F.ceil(F.col("size") / CELL).cast("int").alias("columns"), F.ceil(F.col("strays") / CELL).cast("int").alias("rows")
+        "leader", "group_rows", cells(F.col("group_rows"), F.col("size")).alias("columns"), cells(F.col("strays"), F.col("stray_size")).alias("rows")
     )
-    asked_for = labelled.join(open_, "band").select("node").distinct()
-    own = durable(_own_shingles(asked_for, sets))
-    nodes = nodes.select("node", "n", "marks").join(own, "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
-    rows = (
-        labelled.join(open_, "band").alias("l").join(nodes.alias("n"), F.col("l.node") == F.col("n.node"))
-        .select("band", "l.node", "component", "stray", "n.n", "n.own", "n.marks", "rows", "columns",
-                F.pmod(F.xxhash64("l.node", "band"), F.col("rows")).cast("int").alias("row"),
-                F.pmod(F.xxhash64("band", "l.node"), F.col("columns")).cast("int").alias("column"))
+    rows = join_to_groups(labelled, open_, ["leader"], "node").join(sets, "node").select(
+        "*", F.pmod(F.xxhash64("node", "leader"), F.col("rows")).cast("int").alias("row"),
+        F.pmod(F.xxhash64("leader", "node"), F.col("columns")).cast("int").alias("column"),
     )
-    base = ["band", "node", "component", "n", "own", "marks"]
-    asked = rows.where("stray").select(*base, F.lit(True).alias("asks"), "row", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"))
-    asks_all = rows.select(*base, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), "column")
+    base = ["leader", "node", "component", "marks", "items"]
+    asking = rows.where("stray").select(*base, F.lit(True).alias("asks"), "row", F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"))
+    asked = rows.select(*base, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), "column")
 
     def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        ask, other = cell[cell.asks], cell[~cell.asks].reset_index(drop=True)
-        marks = np.frombuffer(b"".join(other.marks), np.uint8).reshape(-1, COORDINATES)
-        sizes, shared, labels = other.n.to_numpy(), (other.n - other.own).to_numpy(), other.component.to_numpy()
-        for node, component, n, own, mark in zip(ask.node, ask.component, ask.n, ask.own, ask.marks):
-            common = np.minimum(shared, n - own)  # at most
-            fits = np.flatnonzero(100 * common >= percent * (sizes + n - common))
-            fits = fits[(marks[fits] == np.frombuffer(mark, np.uint8)).sum(axis=1) >= least]
-            for i in fits:
-                if labels[i] != component:
-                    out.append((min(node, other.node[i]), max(node, other.node[i])))
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
-
-    cells = asked.unionByName(asks_all)
-    return cells.groupBy("band", "row", "column").applyInPandas(compare, "a binary, b binary").distinct()
+        return pd.DataFrame(joining_links(cell, percent), columns=["a", "b"])
+
+    key = ["leader", "row", "column"]
+    # A fixed number of tasks: cells take long for the bytes they have.
+    dealt = asking.unionByName(asked).repartition(4 * partitions(members.sparkSession), *key)
+    return dealt.groupBy(*key).applyInPandas(compare, "a binary, b binary")
 
 
 def near_duplicates(
@@ -305,8 +330,7 @@ def near_duplicates(
     sets = durable(_sets(docs, members.select("node").distinct(), width, text_col))
     links = durable(_verified(stars, sets, percent))
     components = connected_components(links)
-    rest = durable(_rest_of_buckets(members, durable(components), nodes, sets, percent))
-    more = durable(_verified(rest, sets, percent))
+    more = durable(_rest_of_buckets(members, durable(components), nodes, sets, percent))
     if not more.isEmpty():
         components = connected_components(links.unionByName(more))
     rows = sketched.alias("s").join(durable(components).alias("c"), F.col("s.node") == F.col("c.node"), "left").select(
