@@ -78,3 +78,58 @@ def test_equal_strings_have_equal_hashes_anywhere():
     a, b = sd.Strings(b"xxabcabc", powers), sd.Strings(b"abc", powers)
     at = np.array([2, 5])
     assert set(a.hashes(at, at + 3).tolist()) == set(b.hashes(np.array([0]), np.array([3])).tolist())
+
+
+def test_field_arithmetic_is_exact():
+    rng = random.Random(7)
+    a, b = ([rng.randrange(sd.PRIME) for _ in range(500)] + [0, 1, sd.PRIME - 1, sd.PRIME - 1] for _ in range(2))
+    got = sd.times(np.array(a, np.uint64), np.array(b, np.uint64)).tolist()
+    assert got == [x * y % sd.PRIME for x, y in zip(a, b)]
+    powers = sd.Powers(12345678901234567)
+    data = bytes(rng.randrange(256) for _ in range(300))
+    start, end = np.array([0, 3, 250, 299]), np.array([300, 10, 300, 300])
+    want = [sum((data[i] + 1) * pow(powers.multiplier, i - s, sd.PRIME) for i in range(s, e)) % sd.PRIME + 1 for s, e in zip(start.tolist(), end.tolist())]
+    assert sd.RankedStrings(data, powers).hashes(start, end).tolist() == want
+
+
+def built_to_collide(factors):
+    """Two unlike ASCII strings with equal polynomials modulo 2^64 in any odd multiplier.
+
+    The product of x^(2^k) - 1 for k below `factors` has coefficients -1, 0 and 1 and vanishes there.
+    """
+    coefficients = [1]
+    for k in range(factors):
+        longer = [0] * (len(coefficients) + 2**k)
+        for i, c in enumerate(coefficients):
+            longer[i] -= c
+            longer[i + 2**k] += c
+        coefficients = longer
+    return bytes(109 + c for c in coefficients), b"m" * len(coefficients)
+
+
+def test_texts_built_to_collide_keep_their_bytes(spark):
+    x, y = built_to_collide(11)
+    assert x != y and max(map(abs, (109 - b for b in x))) <= 4
+    old = [((np.frombuffer(t, np.uint8).astype(np.uint64) + np.uint64(1)) * sd.Powers().upto(len(t))[0]).sum(dtype=np.uint64) for t in (x, y)]
+    assert old[0] == old[1]
+    rng = random.Random(3)
+    fresh = lambda n: "".join(rng.choice("bcdf") for _ in range(n))
+    rows = []
+    for pair in range(10):
+        left, right = fresh(200), fresh(200)
+        for piece in (x.decode(), y.decode()):
+            rows.append((len(rows), left + piece + right))
+    check(spark, rows, 400)
+
+
+def test_strings_that_only_hash_alike_are_not_removed(spark, monkeypatch):
+    """Without the drawn multiplier's hash the digests alone keep unlike strings apart."""
+    monkeypatch.setattr(sd, "drawn_multiplier", lambda: 1)  # any two strings with equal letters collide
+    rng = random.Random(5)
+    left, right = "".join(rng.choice("bc") for _ in range(500)), "".join(rng.choice("bc") for _ in range(500))
+    middle = ["".join(rng.sample("abcdefghij", 10)) for _ in range(6)]
+    rows = [(i, "u" * 100 + m + "v" * 300 + left[:40]) for i, m in enumerate(middle)] + [(9, left + right), (10, right + left)]
+    found = sd.drop_repeated_spans(documents(spark, rows), 400).collect()
+    want = {i: r for (i, _), r in zip(rows, removed_spans([t for _, t in rows], 400))}
+    for r in found:
+        assert r.n_removed <= want[r.doc_id][1]

@@ -316,7 +316,7 @@ def source_divergence(
     languages = spark.createDataFrame([(no, name) for name, no in numbers.items()], "lang_no int, lang string")
     rows = _rows(docs, text_col, lang_col, source_col)
     frequent = durable(_frequent(rows, min_documents))
-    none = spark.createDataFrame([], "lang_no int, source string, idx int, count bigint, term string")
+    none = spark.range(0).selectExpr("0 AS lang_no", "'' AS source", "0 AS idx", "id AS count", "'' AS term")
     sums, words = [none.drop("term")], [none.select("lang_no", "idx", "term")]
     for at in range(0, len(names), LANGUAGES):
         vectors, fitted = _terms(rows.where(F.col("lang").isin(names[at:at + LANGUAGES]))), []

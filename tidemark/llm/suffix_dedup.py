@@ -15,10 +15,17 @@ one, which holds them all.  If the outer string occurs elsewhere at the same
 anchor, all its windows do; if the inner one is unique, none does; only what is
 between goes on to the next round with a longer inner string, until it is the
 window itself.
+
+Ranks are hashes modulo a prime by a multiplier drawn for the run, so that no
+text can be made to collide; anchors, whose choice removes nothing, use a fixed
+one.  Before anything is removed the strings found equal are compared once
+more by a cryptographic digest of their bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from functools import reduce
 
 import numpy as np
@@ -32,8 +39,10 @@ from tidemark.operators.skew import join_to_groups
 from tidemark.session import durable
 
 U64 = np.uint64
-#: An odd multiplier; a string's hash is a polynomial in it modulo 2^64, then mixed.
+#: An odd multiplier; the hash that chooses anchors is a polynomial in it modulo 2^64, then mixed.
 BASE = 0x9E3779B97F4A7C15
+#: The hash that ranks is a polynomial modulo this prime.
+PRIME = (1 << 61) - 1
 #: Distances taken together in each round; the first is the number of places an anchor is chosen from.
 CELLS = (343, 49, 7, 1)
 #: Bytes of a text handled at once, next to what overlaps; a place in a portion fits in PLACE_BITS.
@@ -44,11 +53,34 @@ CELL = RUN + ", cell smallint, inner bigint, open boolean"
 KINDS = {"place": np.int32, "low": np.int16, "high": np.int16, "cell": np.int16, "open": bool}
 
 
+def drawn_multiplier() -> int:
+    return (1 << 32) + secrets.randbelow(PRIME - (1 << 33))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & U64(PRIME)) + (x >> U64(61))
+    return np.where(x >= U64(PRIME), x - U64(PRIME), x)
+
+
+def _up32(x: np.ndarray) -> np.ndarray:
+    """x * 2^32 modulo the prime, not yet reduced, for x below 2^62."""
+    return (x >> U64(29)) + ((x & U64((1 << 29) - 1)) << U64(32))
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for numbers below it."""
+    half = U64((1 << 32) - 1)
+    a1, a0, b1, b0 = a >> U64(32), a & half, b >> U64(32), b & half
+    low = a0 * b0
+    return _reduced(((a1 * b1) << U64(3)) + _up32(a1 * b0 + a0 * b1) + (low >> U64(61)) + (low & U64(PRIME)))
+
+
 class Powers:
-    """Powers of the multiplier and of its inverse, grown when a longer text comes."""
+    """Powers of both multipliers and of their inverses, grown when a longer text comes."""
 
-    def __init__(self):
-        self.up = self.down = np.ones(1, U64)
+    def __init__(self, multiplier: int | None = None):
+        self.multiplier = drawn_multiplier() if multiplier is None else multiplier
+        self.up = self.down = self.prime_up = self.prime_down = np.ones(1, U64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
@@ -57,6 +89,14 @@ class Powers:
             self.down = np.cumprod(np.r_[U64(1), np.full(size - 1, pow(BASE, -1, 1 << 64), U64)], dtype=U64)
         return self.up[:n], self.down[:n]
 
+    def upto_in_field(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.prime_up) < n:
+            size = len(self.prime_up)
+            for name, base in (("prime_up", self.multiplier), ("prime_down", pow(self.multiplier, -1, PRIME))):
+                known = getattr(self, name)
+                setattr(self, name, np.concatenate([known, times(known, np.full(size, pow(base, size, PRIME), U64))]))
+        return self.prime_up[:n], self.prime_down[:n]
+
 
 class Strings:
     """Hashes of any substrings of `data`; equal strings have equal hashes wherever they stand."""
@@ -70,6 +110,21 @@ class Strings:
         return mix((self.sums[end] - self.sums[start]) * self.down[start])
 
 
+class RankedStrings:
+    """As `Strings`, modulo the prime and by the drawn multiplier; no hash is 0."""
+
+    def __init__(self, data: bytes, powers: Powers):
+        up, self.down = powers.upto_in_field(len(data) + 1)
+        terms = times(np.frombuffer(data, np.uint8).astype(U64) + U64(1), up[:len(data)])
+        # Halves are summed up apart, so that no sum of a portion overflows.
+        high, low = np.cumsum(terms >> U64(32), dtype=U64), np.cumsum(terms & U64((1 << 32) - 1), dtype=U64)
+        self.sums = np.concatenate([np.zeros(1, U64), _reduced(_up32(high) + low)])
+
+    def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        between = _reduced(self.sums[end] + U64(PRIME) - self.sums[start])
+        return times(between, self.down[start]) + U64(1)
+
+
 def least_of_windows(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each `width` neighbouring values.
 
@@ -127,7 +182,7 @@ def cells_of(data: bytes, length: int, places: np.ndarray, cells: np.ndarray, si
         if not len(here):
             continue
         begin = max(0, at - CELLS[0])
-        strings = Strings(data[begin:at + PORTION + length], powers)
+        strings = RankedStrings(data[begin:at + PORTION + length], powers)
         p, lo, hi = places[here], low[here], high[here]
         start, end = np.maximum(p - lo, 0), np.minimum(p + length - hi, n)
         inner[here] = strings.hashes(start - begin, end - begin).view(np.int64)
@@ -144,11 +199,11 @@ def _batch(nodes: list[bytes], columns: dict[str, list[np.ndarray]]) -> pa.Recor
     return pa.RecordBatch.from_arrays(arrays, names=["node", *columns])
 
 
-def _runs(texts: DataFrame, length: int) -> DataFrame:
+def _runs(texts: DataFrame, length: int, multiplier: int) -> DataFrame:
     """All runs of all texts; the first rank of a run is its anchor."""
 
     def run(batches):
-        powers = Powers()
+        powers = Powers(multiplier)
         for batch in slices(batches):
             nodes, columns = [], {name: [] for name in ("place", "low", "high", "gram", "outer")}
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
@@ -163,14 +218,14 @@ def _runs(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, RUN)
 
 
-def _next_rank(going: DataFrame, kept: DataFrame, length: int, size_before: int, size: int) -> DataFrame:
+def _next_rank(going: DataFrame, kept: DataFrame, length: int, size_before: int, size: int, multiplier: int) -> DataFrame:
     """The smaller cells of every cell that goes on."""
     fields = ("place", "low", "high", "gram", "cell", "open")
     asked = going.groupBy("node").agg(F.collect_list(F.struct(*fields)).alias("asked"))
     share = size_before // size
 
     def run(batches):
-        powers = Powers()
+        powers = Powers(multiplier)
         for batch in slices(batches):
             nodes, columns = [], {name: [] for name in ("place", "low", "high", "gram", "outer", "cell", "inner", "open")}
             asked = batch.column("asked")
@@ -191,8 +246,8 @@ def _next_rank(going: DataFrame, kept: DataFrame, length: int, size_before: int,
     return kept.join(asked, "node").mapInArrow(run, CELL)
 
 
-def _rank_anew(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """(runs of starts of windows that occur elsewhere, cells that go on).
+def _rank_anew(rows: DataFrame, size: int, length: int) -> tuple[DataFrame, DataFrame]:
+    """(runs of starts of windows that occur elsewhere with the outer string's place, cells that go on).
 
     A rank is (anchor, cell, inner string); the pair with the outer string is
     the next one.  A pair that occurs twice settles all windows of its cell.
@@ -210,6 +265,8 @@ def _rank_anew(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     again = join_to_groups(keyed, settled, [*rank, "pair"], "place").select(
         "node", (F.col("place") - F.least("high", F.col("cell") * size + size - 1)).alias("first"),
         (F.col("place") - F.greatest("low", F.col("cell") * size)).alias("last"),
+        (F.col("place") - F.col("cell") * size - (size - 1)).alias("begin"),
+        (F.col("place") - F.col("cell") * size + length).alias("end"),
     )
     ranks = pairs.groupBy(*rank).agg(
         F.count(F.lit(1)).alias("group_rows"), F.max(F.col("open") & (F.col("times") == 1)).alias("any_open")
@@ -220,6 +277,34 @@ def _rank_anew(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     return again, going
 
 
+def _proved(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of `found` whose outer string, byte by byte, also starts elsewhere: (node, first, last).
+
+    Only digests of the strings are moved.
+    """
+    fields = ("first", "last", "begin", "end")
+    asked = found.groupBy("node").agg(F.collect_list(F.struct(*fields)).alias("asked"))
+
+    def run(batches):
+        for batch in slices(batches):
+            nodes, columns, digests = [], {f: [] for f in fields}, []
+            asked = batch.column("asked")
+            for i, (node, text) in enumerate(zip(batch.column("node").to_pylist(), batch.column("text").to_pylist())):
+                data, rows = text.encode(), asked[i].values
+                for f in fields:
+                    columns[f].append(rows.field(f).to_numpy())
+                for begin, end in zip(columns["begin"][-1].tolist(), columns["end"][-1].tolist()):
+                    digests.append(hashlib.blake2b(data[begin:end], digest_size=20).digest())
+                nodes += [node] * len(rows)
+            arrays = [pa.array(nodes, pa.binary()), *[pa.array(np.concatenate(columns[f] or [np.empty(0)]).astype(np.int32)) for f in fields[:3]]]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(digests, pa.binary())], names=["node", "first", "last", "begin", "digest"])
+
+    rows = durable(texts.join(asked, "node").mapInArrow(run, "node binary, first int, last int, begin int, digest binary"))
+    place = F.struct("node", "begin")
+    equal = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("group_rows"), F.min(place).alias("one"), F.max(place).alias("other"))
+    return join_to_groups(rows, equal.where("one != other").select("digest", "group_rows"), ["digest"], "begin").select("node", "first", "last")
+
+
 def _bucketed_texts(spark: SparkSession, docs: DataFrame, text_col: str) -> DataFrame:
     """Every distinct text once, in a table bucketed by node: the only shuffle of texts."""
     path = scratch(spark, "texts")
@@ -235,7 +320,8 @@ def _bucketed_texts(spark: SparkSession, docs: DataFrame, text_col: str) -> Data
 def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     """(node, first, last): starts of windows of distinct `texts` (node, text) that also start elsewhere."""
     long_texts = texts.where(F.octet_length("text") >= length)
-    runs = durable(_runs(long_texts, length))
+    multiplier = drawn_multiplier()
+    runs = durable(_runs(long_texts, length, multiplier))
     # Most anchors are unique; only their hashes are counted, and they go at once.
     often = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("group_rows")).where("group_rows > 1")
     rows = join_to_groups(runs, often, ["gram"], "place").select(
@@ -244,11 +330,11 @@ def repeated_windows(texts: DataFrame, length: int) -> DataFrame:
     rows = durable(rows)
     found = []
     for number, size in enumerate(CELLS):
-        again, going = _rank_anew(rows, size)
+        again, going = _rank_anew(rows, size, length)
         found.append(again)
         if size > 1:
-            rows = durable(_next_rank(durable(going), long_texts, length, size, CELLS[number + 1]))
-    return reduce(DataFrame.unionByName, found)
+            rows = durable(_next_rank(durable(going), long_texts, length, size, CELLS[number + 1], multiplier))
+    return _proved(reduce(DataFrame.unionByName, found), long_texts)
 
 
 def _cleaned(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:

@@ -222,7 +222,7 @@ def _visits(chosen: DataFrame, pages: DataFrame, top: int, most: float) -> DataF
 def _searched(queries: DataFrame, pages: DataFrame, top: int, most: float, depth: int) -> tuple[DataFrame, int]:
     """((number, score, id) of the best `top` vectors of every query, products computed)."""
     spark = queries.sparkSession
-    found = durable(spark.createDataFrame([], "number bigint, score bigint, id bigint"))
+    found = spark.range(0).select(F.col("id").alias("number"), F.col("id").alias("score"), "id")
     open_ = durable(queries.select("number", F.lit("").alias("node"), F.lit(None).cast("double").alias("distance"), F.lit(0.0).alias("least")))
     several, rounds, computed = 1, 0, 0
     while True:
