@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from checks import all_checks
 from checks.fixtures import BASE_TABLES
 from run_checks import rows_of
 
@@ -18,7 +19,7 @@ SAMPLE = [
     "audit12_compare_files", "queue04_clean", "edit01_after_flag", "log07_range_report", "ing01_quarantine",
     "derive02_concatenate",
 ]
-NAMES = list(entry_module.queries()) if os.environ.get("TIDEMARK_ALL") else SAMPLE
+NAMES = list(all_checks.QUERIES) if os.environ.get("TIDEMARK_ALL") else SAMPLE
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +43,7 @@ def test_query_equals_its_sql(spark, db, name):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(all_checks.QUERIES) == set(all_checks.ORACLES)
 
 
 def test_entry(spark):

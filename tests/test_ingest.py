@@ -235,7 +235,7 @@ def test_stream_gives_what_a_batch_gives(spark, tmp_path, per_batch):
     assert sorted(r.filename for r in after.file.collect()) == sorted(
         ["cam_01_20110101_v1.0.0.dat", "cam_01_20120101_v1.0.0.dat", "mon_201202.dat"])
     assert after.file.select("file_id").distinct().count() == 3
-    turned_away = spark.read.parquet(f"{folder}/quarantine").collect()
+    turned_away = streaming.read_output(spark, folder, "quarantine").collect()
     assert sorted(r.reason for r in turned_away) == ["name already in the catalogue", "no inspector match"]
 
     # The same batch once more, as after a failure, changes nothing.
@@ -247,5 +247,5 @@ def test_stream_gives_what_a_batch_gives(spark, tmp_path, per_batch):
 
     query = streaming.plan_stream(spark, folder, tables, str(tmp_path / "mark2"))
     query.awaitTermination()
-    runs = spark.read.parquet(f"{folder}/run_list")
+    runs = streaming.read_output(spark, folder, "run_list", "plans")
     assert [r.filename for r in runs.collect()] == ["out_20120101_v1.0.0"]

@@ -179,22 +179,41 @@ class Ingested:
     quarantine: DataFrame
 
 
-def accept(claimed: DataFrame, catalogue: Catalogue, unique: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
+# The documented rule: product, date and version are unique.
+UNIQUE = ("utc_file_date", "product_id", "interface_version", "quality_version", "revision_version")
+
+
+@dataclass(frozen=True)
+class Known:
+    """What is in the catalogue already, asked of an index in place of the file table.
+
+    `names` and `versions` split rows into those that are there and the others.
+    """
+
+    names: Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+    versions: Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+    highest: int
+
+
+def accept(
+    claimed: DataFrame, catalogue: Catalogue, unique: tuple[str, ...] | None = None, known: Known | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Split claimed files by the rule that product, date and version are unique.
 
     The first name of equal ones in a batch is taken.  `unique` replaces the
     columns of the rule; as in SQL a null in them never clashes.
     """
-    columns = list(unique or (
-        "utc_file_date", "product_id", "interface_version", "quality_version", "revision_version"))
+    columns = list(unique or UNIQUE)
     filled = F.lit(True)
     for c in columns:
         filled = filled & F.col(c).isNotNull()
     tested = claimed.where(filled)
-    taken = catalogue.file.select(*columns).distinct()
-    clash = tested.join(taken, columns, "left_semi").select("filename", "path").withColumn(
-        "reason", F.lit("version already in the catalogue"))
-    new = tested.join(taken, columns, "left_anti")
+    if known is not None:
+        there, new = known.versions(tested)
+    else:
+        taken = catalogue.file.select(*columns).distinct()
+        there, new = tested.join(taken, columns, "left_semi"), tested.join(taken, columns, "left_anti")
+    clash = there.select("filename", "path").withColumn("reason", F.lit("version already in the catalogue"))
     firsts = first_seen(new, columns, ["filename"])
     doubles = new.select("filename", "path").join(firsts.select("filename"), "filename", "left_anti").withColumn(
         "reason", F.lit("version twice in the batch"))
@@ -203,25 +222,30 @@ def accept(claimed: DataFrame, catalogue: Catalogue, unique: tuple[str, ...] | N
 
 def ingest_batch(
     listing: DataFrame, catalogue: Catalogue, rules: DataFrame, product_trace: DataFrame, root: str,
-    unique: tuple[str, ...] | None = None, inspected: DataFrame | None = None,
+    unique: tuple[str, ...] | None = None, inspected: DataFrame | None = None, known: Known | None = None,
 ) -> Ingested:
     """Take a batch of incoming files into the catalogue.
 
     Names already catalogued, names no rule claims and repeated versions go
     to the quarantine.  Accepted files are numbered in name order from the
     highest id on, so a rerun of the batch gives the same ids.  `inspected`
-    holds the claims of user inspectors, see :func:`classify`.
+    holds the claims of user inspectors, see :func:`classify`.  With `known`
+    the file table is not read; its index must be by the columns of `unique`.
     """
     listing = first_seen(listing, ["filename"], ["path"])
-    known = catalogue.file.select("filename")
-    old = listing.join(known, "filename", "left_semi").select(
-        "filename", "path", F.lit("name already in the catalogue").alias("reason"))
-    claimed, unclaimed = classify(listing.join(known, "filename", "left_anti"), rules, inspected)
+    if known is not None:
+        there, fresh = known.names(listing)
+        highest = F.lit(known.highest)
+    else:
+        names = catalogue.file.select("filename")
+        there, fresh = listing.join(names, "filename", "left_semi"), listing.join(names, "filename", "left_anti")
+        highest = catalogue.file.agg(F.coalesce(F.max("file_id"), F.lit(0))).scalar()
+    old = there.select("filename", "path", F.lit("name already in the catalogue").alias("reason"))
+    claimed, unclaimed = classify(fresh, rules, inspected)
     claimed = durable(claimed)
-    accepted, repeated = accept(claimed, catalogue, unique)
-    highest = catalogue.file.agg(F.coalesce(F.max("file_id"), F.lit(0))).scalar()
+    accepted, repeated = accept(claimed, catalogue, unique, known)
     numbered = number_rows(accepted, ["filename"], "_number").withColumn(
-        "file_id", F.col("_number") + highest).drop("_number")
+        "file_id", (F.col("_number") + highest).cast("long")).drop("_number")
     placed = full_paths(numbered, product_trace, root)
     moves = placed.select(
         "file_id", "path", "full_path", (F.col("path") != F.col("full_path")).alias("needs_move"))

@@ -61,7 +61,9 @@ def reap_plan(
     elif archive is None:
         target, word = F.lit(None).cast("string"), "delete file"
     else:
-        inner = F.regexp_replace("full_path", "^" + root.rstrip("/") + "/", "")
+        start = root.rstrip("/") + "/"
+        path = F.col("full_path")
+        inner = F.when(path.startswith(F.lit(start)), F.substr(path, F.lit(len(start) + 1))).otherwise(path)
         target, word = join_path(F.lit(archive), inner), "archive file"
     return (
         rows.select("file_id", "full_path", target.alias("archive_path"), F.lit(word).alias("action"), *order[:-1])

@@ -45,7 +45,7 @@ def listing_columns(folder: str, content: bool = False) -> list[Column]:
     return columns + ([F.col("content")] if content else [])
 
 
-def _full_uri(folder: str) -> str:
+def full_uri(folder: str) -> str:
     """The folder with its scheme; one without is a path all executors share."""
     if "://" in folder:
         return folder.rstrip("/")
@@ -54,7 +54,7 @@ def _full_uri(folder: str) -> str:
     return "file://" + os.path.abspath(folder)
 
 
-def _store(uri: str) -> tuple[fs.FileSystem, str, str]:
+def store_of(uri: str) -> tuple[fs.FileSystem, str, str]:
     """The store of a full URI, the path inside it, and what stands before such paths; names may hold any character."""
     scheme, rest = uri.split("://", 1)
     authority, _, inner = rest.partition("/")
@@ -71,7 +71,7 @@ def _scan(folders: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for uri in frame["uri"]:
-                store, inner, start = _store(uri)
+                store, inner, start = store_of(uri)
                 rows = [
                     (start + f.path, f.type == fs.FileType.Directory, f.size, f.mtime and f.mtime.replace(tzinfo=None))
                     for f in store.get_file_info(fs.FileSelector(inner))
@@ -82,7 +82,7 @@ def _scan(folders: DataFrame) -> DataFrame:
 
 
 def _read(uri: str, take: Callable[[bytes], None]) -> None:
-    store, inner, _start = _store(uri)
+    store, inner, _start = store_of(uri)
     with store.open_input_stream(inner) as stream:
         while part := stream.read(PORTION):
             take(part)
@@ -115,7 +115,7 @@ def _with_content(listing: DataFrame) -> DataFrame:
     return listing.mapInPandas(run, StructType([*listing.schema.fields, StructField("content", BinaryType())]))
 
 
-def _glob(pattern: str) -> str:
+def glob_pattern(pattern: str) -> str:
     """The expression of a file glob: ``*``, ``?``, ``[...]`` and ``{a,b}``."""
     marks = {"*": ".*", "?": ".", "{": "(?:", "}": ")", "[": "[", "]": "]"}
     out, depth = [], 0
@@ -136,7 +136,7 @@ def list_folder(
     `content` or `digest` (column `shasum`) is asked for.  `relative_path` is
     the path below `folder`, `uri` the path with its scheme.
     """
-    start = _full_uri(folder)
+    start = full_uri(folder)
     level = durable(_scan(spark.createDataFrame([(start,)], "uri string")))
     levels = [level]
     while recursive:
@@ -147,7 +147,7 @@ def list_folder(
         levels.append(level)
     files = reduce(DataFrame.unionByName, levels).where("NOT is_folder")
     if glob != "*":
-        files = files.where(basename(F.col("uri")).rlike(_glob(glob)))
+        files = files.where(basename(F.col("uri")).rlike(glob_pattern(glob)))
     path = F.regexp_replace("uri", _SCHEME, "")
     root = F.lit(re.sub(_SCHEME, "", start).rstrip("/") + "/")
     listing = files.select(

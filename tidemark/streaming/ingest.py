@@ -1,10 +1,10 @@
-"""Ingest and planning as streams.
+"""Ingest and planning as streams over versioned tables.
 
-The catalogue is the static side and is read anew for each micro-batch.
-Tables that a stream writes are stored by batch (``batch_id=N`` folders): a
-batch that is run again after a failure overwrites its own folder and does
-not see its own earlier rows, so nothing is taken twice.  No streaming state
-is kept; the file source remembers which paths it has given out.
+The catalogue is the static side; each batch sees one pinned version of it.
+What a batch adds to all tables is published at once (see
+:mod:`tidemark.sources.versions`), so a batch that is run again after a failure
+either finds itself done or starts from the same version as before.  Names and
+versions are looked up in a key index; a batch does not read the file table.
 """
 
 from __future__ import annotations
@@ -16,101 +16,154 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.model import TABLES, Catalogue, conform
-from tidemark.operators.ingest import ingest_batch, inspection_rules
+from tidemark.operators.ingest import UNIQUE, Known, ingest_batch, inspection_rules
 from tidemark.operators.trace import trace_products
 from tidemark.plans.reprocess import plan_changes, run_list
 from tidemark.session import durable
-from tidemark.sources.listing import LISTING, listing_columns, with_digest
+from tidemark.sources.key_index import KeyIndex
+from tidemark.sources.versions import Manifest, Versions
+from tidemark.streaming.incoming import IncomingSource, VersionsSource
 
 # Tables a stream appends to; all others are dimensions.
 GROWING = ("file", "processqueue", "filefilelink", "filecodelink")
 FIRST_BATCH = -1
 
 
-def write_batch(rows: DataFrame, folder: str, table: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{folder}/{table}/batch_id={batch_id}")
+def stored(spark: SparkSession, folder: str) -> tuple[Versions, KeyIndex]:
+    """The growing tables of a folder and the index of its file names and versions."""
+    versions = Versions(spark, folder, "catalogue")
+    return versions, KeyIndex(versions, "file", {"name": ["filename"], "version": list(UNIQUE)})
 
 
 def start_folder(catalogue: Catalogue, folder: str) -> None:
-    """Write a catalogue in the layout the streams read."""
+    """Write a catalogue in the layout the streams read: dimensions as folders, the rest as version 0."""
+    growing = {}
     for table in TABLES:
         if table in catalogue:
             rows = conform(getattr(catalogue, table), table)
             if table in GROWING:
-                write_batch(rows, folder, table, FIRST_BATCH)
+                growing[table] = rows
             else:
                 rows.write.mode("overwrite").parquet(f"{folder}/{table}")
-
-
-def read_folder(spark: SparkSession, folder: str, tables: list[str], before: int | None = None) -> Catalogue:
-    """The catalogue as left by all batches, or by those before one batch."""
+    spark = next(iter(growing.values())).sparkSession
+    versions, index = stored(spark, folder)
+    highest = growing["file"].agg(F.coalesce(F.max("file_id"), F.lit(0))).scalar() if "file" in growing else F.lit(0)
+    number = spark.range(1).select(highest.alias("n")).first().n
+    if "file" in growing:
+        growing |= index.rows(growing["file"])
+    versions.append(FIRST_BATCH, growing, {"file_id": int(number)})
+
+
+def read_folder(spark: SparkSession, folder: str, tables: list[str], version: int | None = None) -> Catalogue:
+    """The catalogue at one version, by default the newest."""
+    versions, _index = stored(spark, folder)
+    manifest = versions.manifest(version)
     out = {}
     for table in tables:
         if table in GROWING:
-            stored = spark.read.option("basePath", f"{folder}/{table}").parquet(f"{folder}/{table}")
-            if before is not None:
-                stored = stored.where(F.col("batch_id") < before)
+            rows = versions.read(table, manifest)
+            rows = spark.createDataFrame([], TABLES[table].schema) if rows is None else rows
         else:
-            stored = spark.read.parquet(f"{folder}/{table}")
-        out[table] = conform(stored, table)
+            rows = spark.read.parquet(f"{folder}/{table}")
+        out[table] = conform(rows, table)
     return Catalogue(**out)
 
 
+def read_output(spark: SparkSession, folder: str, table: str, writer: str = "catalogue") -> DataFrame | None:
+    """A table that only streams write: ``moves`` and ``quarantine``, or ``run_list`` of the writer ``plans``."""
+    versions = Versions(spark, folder, writer)
+    return versions.read(table, versions.manifest())
+
+
+def _known(index: KeyIndex, manifest: Manifest) -> Known:
+    return Known(
+        names=lambda rows: index.split(rows, "name", manifest),
+        versions=lambda rows: index.split(rows, "version", manifest),
+        highest=manifest.numbers["file_id"],
+    )
+
+
 def take_incoming(folder: str, root: str, tables: list[str]) -> Callable[[DataFrame, int], None]:
-    """The step that ingests one micro-batch of listed files into the folder."""
+    """The step that ingests one batch of listed files into the folder and publishes it."""
 
     def take(listing: DataFrame, batch_id: int) -> None:
-        catalogue = read_folder(listing.sparkSession, folder, tables, before=batch_id)
+        spark = listing.sparkSession
+        versions, index = stored(spark, folder)
+        manifest = versions.manifest()
+        if manifest.batch is not None and batch_id <= manifest.batch:
+            return
+        catalogue = read_folder(spark, folder, [t for t in tables if t not in GROWING], manifest.version)
         trace = trace_products(catalogue)
         rules = durable(inspection_rules(catalogue, trace))
-        out = ingest_batch(durable(listing), catalogue, rules, trace, root)
+        out = ingest_batch(durable(listing), catalogue, rules, trace, root, known=_known(index, manifest))
         accepted = durable(out.accepted)
-        write_batch(conform(accepted, "file"), folder, "file", batch_id)
-        queue = accepted.select("file_id", F.lit(None).cast("smallint").alias("version_bump"))
-        write_batch(queue, folder, "processqueue", batch_id)
-        write_batch(out.moves, folder, "moves", batch_id)
-        write_batch(out.quarantine, folder, "quarantine", batch_id)
+        last = accepted.agg(F.max("file_id")).first()[0]
+        rows = conform(accepted, "file")
+        versions.append(batch_id, {
+            "file": rows,
+            "processqueue": accepted.select("file_id", F.lit(None).cast("smallint").alias("version_bump")),
+            "moves": out.moves,
+            "quarantine": out.quarantine,
+            **index.rows(rows),
+        }, {"file_id": last if last is not None else manifest.numbers["file_id"]})
 
     return take
 
 
 def ingest_stream(
     spark: SparkSession, incoming: str, folder: str, root: str, tables: list[str], checkpoint: str,
-    glob: str = "*", archive: str | None = None, files_per_batch: int | None = None,
+    glob: str = "*", archive: str | None = None, files_per_batch: int | None = None, recursive: bool = False,
 ) -> StreamingQuery:
-    """Ingest all files in the incoming folder and stop; `archive` moves the taken ones there."""
-    reader = spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", glob)
+    """Ingest all files in the incoming folder and stop; `archive` moves the taken ones there.
+
+    Takes every file that a batch over `list_folder` takes: empty ones, names
+    starting with ``_`` or ``.``, files of any size.  A file that comes again
+    with another size or time is offered again.
+    """
+    spark.dataSource.register(IncomingSource)
+    reader = spark.readStream.format("tidemark_incoming").option("snapshots", f"{checkpoint}/listings").option("glob", glob)
+    reader = reader.option("recursive", str(recursive).lower())
     if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        reader = reader.option("files_per_batch", files_per_batch)
     if archive is not None:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    listing = with_digest(reader.load(incoming).select(*listing_columns(incoming, content=True)))
+        reader = reader.option("archive", archive)
+    take = take_incoming(folder, root, tables)
+
+    def each_snapshot(listing: DataFrame, _batch_id: int) -> None:
+        # Spark's batch may span several snapshots; each is published under its own number.
+        rows = durable(listing)
+        for r in rows.select("snapshot").distinct().orderBy("snapshot").collect():
+            take(rows.where(F.col("snapshot") == r.snapshot).drop("snapshot"), r.snapshot)
+
     return (
-        listing.writeStream.foreachBatch(take_incoming(folder, root, tables))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        reader.load(incoming).writeStream.foreachBatch(each_snapshot)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
 def plan_stream(
-    spark: SparkSession, folder: str, tables: list[str], checkpoint: str, batches_per_trigger: int | None = None
+    spark: SparkSession, folder: str, tables: list[str], checkpoint: str
 ) -> StreamingQuery:
-    """Plan what newly queued files make necessary; run lists go to ``run_list`` by batch."""
-    schema = TABLES["processqueue"].schema
-    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-    if batches_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", batches_per_trigger)
-    queue = reader.parquet(f"{folder}/processqueue")
-
-    def plan(batch: DataFrame, batch_id: int) -> None:
-        catalogue = read_folder(batch.sparkSession, folder, tables)
-        runs = run_list(plan_changes(catalogue, durable(batch.select("file_id", "version_bump"))))
-        write_batch(runs, folder, "run_list", batch_id)
+    """Plan what newly queued files make necessary; run lists are published by the writer ``plans``.
+
+    Each version of the catalogue that brought queue rows is planned against
+    that very version, so a batch run again gives the same list.
+    """
+    spark.dataSource.register(VersionsSource)
+    found = spark.readStream.format("tidemark_versions").option("writer", "catalogue").load(folder)
+
+    def plan(batch: DataFrame, _batch_id: int) -> None:
+        plans = Versions(spark, folder, "plans")
+        for r in batch.orderBy("version").collect():  # one small row a version
+            manifest = plans.manifest()
+            queue = stored(spark, folder)[0].added("processqueue", r.version)
+            if queue is None or (manifest.batch is not None and r.version <= manifest.batch):
+                continue
+            catalogue = read_folder(spark, folder, tables, r.version)
+            runs = run_list(plan_changes(catalogue, durable(queue.select("file_id", "version_bump"))))
+            plans.append(r.version, {"run_list": runs})
 
     return (
-        queue.writeStream.foreachBatch(plan)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+        found.writeStream.foreachBatch(plan)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
