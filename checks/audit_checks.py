@@ -158,7 +158,7 @@ def _(t):
     return audit.checksum_audit(listed, disk)
 
 
-def _files_of_documents(t):
+def files_of_documents(t):
     """Write documents as files in a folder of the query's own: some empty, some with a leading bar, some left out."""
     from tidemark.session import checkpoint_folder
 
@@ -183,39 +183,39 @@ def _files_of_documents(t):
     return folder, files
 
 
-_DISK = """SELECT concat(CASE WHEN doc_id % 5 = 0 THEN '_' ELSE '' END, 'f', doc_id, '.txt') AS filename, doc_id,
+DISK = """SELECT concat(CASE WHEN doc_id % 5 = 0 THEN '_' ELSE '' END, 'f', doc_id, '.txt') AS filename, doc_id,
       CASE WHEN doc_id % 7 = 0 THEN '' ELSE coalesce(text, '') END AS content FROM documents"""
 
 
-@query("src03_listing", f"SELECT filename, CAST(strlen(content) AS BIGINT) AS length, sha1(content) AS shasum FROM ({_DISK}) WHERE doc_id % 11 <> 3")
+@query("src03_listing", f"SELECT filename, CAST(strlen(content) AS BIGINT) AS length, sha1(content) AS shasum FROM ({DISK}) WHERE doc_id % 11 <> 3")
 def _(t):
     from tidemark.sources.listing import list_folder
 
-    folder, _files = _files_of_documents(t)
+    folder, _files = files_of_documents(t)
     return list_folder(t.spark, folder, recursive=True, digest=True).select("filename", "length", "shasum")
 
 
 @query(
     "audit11_files_on_disk",
     f"""
-    SELECT doc_id AS file_id, filename, CASE WHEN doc_id % 11 = 3 THEN 2 ELSE 1 END AS result FROM ({_DISK})
+    SELECT doc_id AS file_id, filename, CASE WHEN doc_id % 11 = 3 THEN 2 ELSE 1 END AS result FROM ({DISK})
     WHERE doc_id % 11 = 3 OR doc_id % 4 = 1
     """,
 )
 def _(t):
     from tidemark.sources.listing import list_folder
 
-    folder, files = _files_of_documents(t)
+    folder, files = files_of_documents(t)
     told = files.select(F.col("doc_id").alias("file_id"), "filename", "full_path",
                         F.when(F.col("doc_id") % 4 == 1, "other").otherwise(F.sha1(F.col("text").cast("binary"))).alias("shasum"))
     return audit.checksum_audit(told, list_folder(t.spark, folder, recursive=True, digest=True))
 
 
-@query("audit14_listed_files", f"SELECT doc_id AS file_id, filename FROM ({_DISK}) WHERE doc_id % 11 = 3")
+@query("audit14_listed_files", f"SELECT doc_id AS file_id, filename FROM ({DISK}) WHERE doc_id % 11 = 3")
 def _(t):
     from tidemark.sources.listing import list_folder
 
-    folder, files = _files_of_documents(t)
+    folder, files = files_of_documents(t)
     told = files.select(F.col("doc_id").alias("file_id"), "filename", "full_path", F.lit(True).alias("exists_on_disk"))
     return audit.existence_audit(told, list_folder(t.spark, folder, recursive=True)).select("file_id", "filename")
 

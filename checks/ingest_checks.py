@@ -1,11 +1,18 @@
 """Classification and ingest of the file names of the reshaped catalogue."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from checks.audit_checks import DISK, files_of_documents
 from checks.registry import catalogue, query
 from tidemark.operators import ingest
 from tidemark.operators.trace import trace_products
+from tidemark.session import checkpoint_folder, durable
 from tidemark.sources import listing as listing_module
+from tidemark.sources.key_index import KeyIndex
+from tidemark.sources.versions import Versions
+from tidemark.streaming.incoming import IncomingSource
 
 
 def _one_link(t):
@@ -122,12 +129,74 @@ def _(t):
     return ingest.not_ingested(found, t.file.where("exists_on_disk")).select("product_id", "filename")
 
 
+def _indexed(t, *parts):
+    """An index of file names and versions, grown by `parts` of a file table, at its newest version."""
+    folder = f"{checkpoint_folder(t.spark)}/indexed/{uuid.uuid4().hex}"
+    versions = Versions(t.spark, folder, merge=2)
+    index = KeyIndex(versions, "file", {"name": ["filename"], "version": list(ingest.UNIQUE)}, buckets=32)
+    manifest = versions.manifest()
+    for number, part in enumerate(parts):
+        manifest = versions.append(number, index.rows(part))
+    return index, manifest
+
+
 @query(
     "join06_names_not_catalogued",
     "SELECT filename FROM v_file WHERE filename NOT IN (SELECT filename FROM v_file_other)",
 )
 def _(t):
-    return t.file.select("filename").join(t.file_other.select("filename"), "filename", "left_anti")
+    index, manifest = _indexed(t, t.file_other)
+    _there, others = index.split(t.file.select("filename"), "name", manifest)
+    return others
+
+
+@query(
+    "src06_keys_present",
+    """
+    SELECT filename, 'name' AS kind FROM v_file WHERE filename IN (SELECT filename FROM v_file_other)
+    UNION ALL SELECT filename, 'version' FROM v_file WHERE (utc_file_date, product_id, interface_version, quality_version, revision_version) IN
+      (SELECT (utc_file_date, product_id, interface_version, quality_version, revision_version) FROM v_file_other)
+    """,
+)
+def _(t):
+    # The index grows by three appends, of which the first two are merged.
+    index, manifest = _indexed(t, *[t.file_other.where(F.col("file_id") % 3 == part) for part in range(3)])
+    found = [index.split(t.file, kind, manifest)[0].select("filename", F.lit(kind).alias("kind")) for kind in ("name", "version")]
+    return found[0].unionByName(found[1])
+
+
+@query(
+    "ing01_indexed",
+    f"WITH {_BATCH} SELECT new_id AS file_id, filename, product_id FROM good",
+)
+def _(t):
+    c, trace, rules = _rules(t)
+    old = t.file.where("NOT exists_on_disk")
+    index, manifest = _indexed(t, old.where("file_id % 2 = 0"), old.where("file_id % 2 = 1"))
+    known = ingest.Known(
+        names=lambda rows: index.split(rows, "name", manifest), versions=lambda rows: index.split(rows, "version", manifest),
+        highest=old.agg(F.max("file_id")).first()[0],
+    )
+    out = ingest.ingest_batch(_listing(t), c, rules, trace, "/data", known=known)
+    return out.accepted.select("file_id", "filename", "product_id")
+
+
+@query("str01_incoming_stream", f"SELECT filename, CAST(strlen(content) AS BIGINT) AS length, sha1(content) AS shasum FROM ({DISK}) WHERE doc_id % 11 <> 3")
+def _(t):
+    folder, _files = files_of_documents(t)
+    work = f"{checkpoint_folder(t.spark)}/streamed/{uuid.uuid4().hex}"
+    versions = Versions(t.spark, work)
+    t.spark.dataSource.register(IncomingSource)
+
+    def publish(listing, _batch):
+        rows = durable(listing)
+        for r in rows.select("snapshot").distinct().orderBy("snapshot").collect():
+            versions.append(r.snapshot, {"listing": rows.where(F.col("snapshot") == r.snapshot)})
+
+    reader = t.spark.readStream.format("tidemark_incoming").option("snapshots", f"{work}/marks").option("recursive", "true")
+    stream = reader.option("files_per_batch", 20_000).load(folder).writeStream.foreachBatch(publish)
+    stream.option("checkpointLocation", f"{work}/mark").trigger(availableNow=True).start().awaitTermination()
+    return versions.read("listing", versions.manifest()).select("filename", "length", "shasum")
 
 
 @query(

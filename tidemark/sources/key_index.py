@@ -134,8 +134,10 @@ class KeyIndex:
         for folder, bucket in self.touched(asked, kind, manifest):
             by_folder.setdefault(folder, []).append(bucket)
         for folder, buckets in by_folder.items():
-            keys = _part(self.versions.spark, folder, "keys", KEY_ROWS).where((F.col("kind") == kind) & F.col("bucket").isin(buckets))
-            keys = keys.select("key", "hash", "bucket")
+            # By their own folders: no other bucket is even listed.
+            paths = [f"{folder}/keys/kind={kind}/bucket={b}" for b in buckets]
+            reader = self.versions.spark.read.schema(KEY_ROWS).option("basePath", f"{folder}/keys")
+            keys = reader.parquet(*paths).select("key", "hash", "bucket")
             found = keys if found is None else found.unionByName(keys)
         if found is None:
             return asked.select("key").limit(0)
@@ -145,5 +147,5 @@ class KeyIndex:
         """(rows whose key is in the table, all others); a null in a key is never there."""
         present = durable(self.present_keys(rows, kind, manifest))
         keyed = rows.withColumn("_key", key_text(self.kinds[kind]))
-        there = keyed.join(present.withColumnRenamed("key", "_key"), "_key", "left_semi").drop("_key")
-        return there, keyed.join(present.withColumnRenamed("key", "_key"), "_key", "left_anti").drop("_key")
+        present = present.withColumnRenamed("key", "_key")
+        return keyed.join(present, "_key", "left_semi").drop("_key"), keyed.join(present, "_key", "left_anti").drop("_key")

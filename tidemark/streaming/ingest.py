@@ -159,8 +159,10 @@ def plan_stream(
             queue = stored(spark, folder)[0].added("processqueue", r.version)
             if queue is None or (manifest.batch is not None and r.version <= manifest.batch):
                 continue
-            catalogue = read_folder(spark, folder, tables, r.version)
-            runs = run_list(plan_changes(catalogue, durable(queue.select("file_id", "version_bump"))))
+            queue = durable(queue.select("file_id", "version_bump"))
+            if queue.isEmpty():
+                continue
+            runs = run_list(plan_changes(read_folder(spark, folder, tables, r.version), queue))
             plans.append(r.version, {"run_list": runs})
 
     return (
