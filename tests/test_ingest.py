@@ -8,7 +8,7 @@ from helpers import Small, ids
 from tidemark.operators import derive, ingest
 from tidemark.operators.derive import rot13
 from tidemark.operators.trace import trace_products
-from tidemark.plans.rounds import process_queue
+from tidemark.plans.rounds import process_queue, side_output
 from tidemark.sources.listing import list_folder
 from tidemark.streaming import ingest as streaming
 
@@ -166,6 +166,41 @@ def test_rounds_until_the_queue_is_empty(spark):
         "cat_20160103_v1.0.0.txt": "run"}
 
 
+def test_rounds_go_on_where_a_lost_driver_left_them(spark, tmp_path):
+    def work(inputs, arguments, name):
+        return "|".join(inputs["content"]) if len(inputs) else name
+
+    s, texts = two_steps()
+    c = s.catalogue(spark)
+    rules = ingest.inspection_rules(c, trace_products(c))
+    contents = spark.createDataFrame(list(texts.items()), "file_id bigint, content string")
+    seen, journal = [], str(tmp_path / "journal")
+
+    def watch(stop):
+        def look(runs, results):
+            seen.append(sorted(r.filename.split("_")[0] for r in results.collect()))
+            if len(seen) == stop:
+                raise KeyboardInterrupt("the driver is lost")
+        return look
+
+    def run(stop):
+        return process_queue(c, contents, work, rules, "/data", "/codes", "2024-01-01 00:00:00", on_results=watch(stop), journal=journal)
+
+    for stop in (2, 4):  # in the second round, then in the third
+        with pytest.raises(KeyboardInterrupt):
+            run(stop)
+    done = run(None)
+    # Only the rounds that were cut off ran twice.
+    assert [names[0] for names in seen] == ["cat", "rot", "rot", "RUN", "RUN"]
+    held = {r.filename: r.content for r in done.catalogue.file.join(done.contents, "file_id").collect()}
+    assert len(held) == 9 and held["rot_20160102_v1.0.0.txt"] == "Line 1|Line 2"
+    assert done.rounds == 3 and done.catalogue.processqueue.count() == 0
+    assert done.catalogue.file.select("file_id").distinct().count() == done.catalogue.file.count() == 9
+    assert done.catalogue.filecodelink.count() == 6
+    printed = [(r.filename, r.round) for r in side_output(spark, journal).collect()]
+    assert len(printed) == len(set(printed)) == 3 and {r for _, r in printed} == {3}
+
+
 def test_user_inspectors_claim_in_their_turn(spark):
     s = Small()
     first = s.product("first", form="shared_{Y}{m}{d}_v{VERSION}.dat")
@@ -200,6 +235,9 @@ def test_side_output_is_text_only(spark, tmp_path):
         [("RUN_a", "ok", None, "hello", "x"), ("RUN_b", "failed", "e", None, None)], derive.RESULT)
     derive.write_side_output(results, str(tmp_path / "side"))
     assert [r.value for r in spark.read.text(str(tmp_path / "side")).collect()] == ["hello"]
+    for _ in range(2):  # a batch run again replaces its lines
+        derive.write_side_output(results, str(tmp_path / "batches"), batch=7)
+    assert [r.value for r in spark.read.text(str(tmp_path / "batches"), recursiveFileLookup=True).collect()] == ["hello"]
     assert {r.status: r.runs for r in derive.status_counts(results).collect()} == {"ok": 1, "failed": 1}
 
 

@@ -97,9 +97,17 @@ def status_counts(results: DataFrame) -> DataFrame:
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("runs"))
 
 
-def write_side_output(results: DataFrame, folder: str) -> None:
-    """Append what RUN processes print to a text folder; they make no catalogue row."""
-    succeeded(results).select(F.col("content").alias("value")).write.mode("append").text(folder)
+def write_side_output(results: DataFrame, folder: str, batch: int | None = None) -> None:
+    """Write what RUN processes print to a text folder; they make no catalogue row.
+
+    Without `batch` the lines are appended.  With it they get a folder of
+    their own, which the same batch run again replaces, so no line comes twice.
+    """
+    lines = succeeded(results).select(F.col("content").alias("value"))
+    if batch is None:
+        lines.write.mode("append").text(folder)
+    else:
+        lines.write.mode("overwrite").text(f"{folder}/batch={batch}")
 
 
 @dataclass(frozen=True)
