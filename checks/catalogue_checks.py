@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks.registry import catalogue, query
+from tidemark.operators import audit, workset
 from tidemark.operators import catalogue as cat
 from tidemark.operators import trace
 from tidemark.operators.skew import join_to_groups
@@ -567,7 +568,7 @@ def _(t):
             F.concat(F.lit(word), F.col("product_id")).alias("what"), F.col("count").alias("n")
         )
 
-    queue = t.processqueue.agg(F.count(F.lit(1)).alias("n")).select(F.lit("queue").alias("what"), "n")
+    queue = workset.length(t.processqueue).select(F.lit("queue").alias("what"), F.col("queued").alias("n"))
     return queue.union(counted(t.instrumentproductlink, "links of ")).union(
         counted(t.file.where("exists_on_disk"), "files of ")
     )
@@ -581,11 +582,11 @@ def _(t):
     """,
 )
 def _(t):
-    return t.file.agg(
-        F.min("utc_file_date").alias("first_date"), F.max("utc_file_date").alias("last_date"),
-        F.max("interface_version").alias("max_interface"), F.max("quality_version").alias("max_quality"),
-        F.max("revision_version").alias("max_revision"),
-    )
+    parts = audit.large_version_parts(t.file).groupBy().pivot("part", ["interface", "quality", "revision"]).agg(F.first("highest"))
+    dates = t.file.agg(F.min("utc_file_date").alias("first_date"), F.max("utc_file_date").alias("last_date"))
+    # One row each.
+    highest = parts.select(F.lit(1).alias("one"), *[F.col(p).alias(f"max_{p}") for p in ("interface", "quality", "revision")])
+    return dates.withColumn("one", F.lit(1)).join(highest, "one").drop("one")
 
 
 @query(

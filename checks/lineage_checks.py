@@ -203,6 +203,26 @@ def _(t):
     return retention.reap_plan(candidates, paths, "files", "/data", archive="/archive")
 
 
+@query(
+    "lin09_archive",
+    f"""
+    WITH path AS (SELECT DISTINCT f.file_id, {FULL_PATH} AS full_path FROM v_file f JOIN v_product_full p ON p.product_id = f.product_id
+      JOIN (SELECT product_id, min(instrument_id) AS instrument_id FROM v_instrumentproductlink GROUP BY 1) l ON l.product_id = p.product_id
+      JOIN nation n ON n.n_nationkey = l.instrument_id JOIN region s ON s.r_regionkey = n.n_regionkey)
+    SELECT f.file_id, concat('/c++ (old.)', substr(path.full_path, 6)) AS full_path, concat('/archive', substr(path.full_path, 6)) AS archive_path,
+      'archive file' AS action
+    FROM v_file f JOIN path USING (file_id) WHERE f.exists_on_disk AND f.file_id % 10 = 3
+    """,
+)
+def _(t):
+    # A root whose characters mean something else in an expression.
+    c = _rooted(t)
+    one_link = c.instrumentproductlink.groupBy("product_id").agg(F.min("instrument_id").alias("instrument_id"))
+    c = c.replace(instrumentproductlink=one_link.select("instrument_id", "product_id"))
+    paths = full_paths(c.file, trace_products(c), "/c++ (old.)")
+    return retention.reap_plan(c.file.where("file_id % 10 = 3"), paths, "files", "/c++ (old.)/", archive="/archive")
+
+
 @query(
     "lin10_subset",
     """
