@@ -92,17 +92,19 @@ def test_queries_have_the_columns_asked_for(spark):
         3: "doc_id n_tokens ids_sha256 decoded_sha256", 4: "vec_id n_links component_id kept", 5: "doc_id held_out score predicted",
         6: "doc_id held_out lang_pred score", 7: "doc_id n_bytes n_tokens over_limit", 8: "doc_id n_shingles component_id kept",
         9: "doc_id n_bytes n_removed n_spans kept_sha256", 10: "doc_id size source_size target taken",
+        11: "item_id rank doc_id score", 12: "query_id rank vec_id score", 13: "lang source part item value rank",
     }
     db = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "benchmark"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DIR}/{table}.parquet'")
     for name, build in QUERIES.items():
         df = build(spark, DIR)
-        wanted = columns[int(name[2:].split("_")[0])].split()
+        number = int(name[2:].split("_")[0])
+        wanted = columns[number].split()
         assert df.columns[:len(wanted)] == wanted
         got = [tuple(r) for r in df.collect()]
         table = "embeddings" if name.startswith("op4_") else "documents"
-        assert len(got) == db.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
+        assert number > 10 or len(got) == db.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
         if name in ORACLES:
             cursor = db.execute(ORACLES[name])
             names = [d[0] for d in cursor.description]
