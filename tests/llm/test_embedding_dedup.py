@@ -137,3 +137,28 @@ def test_runs_in_small_blocks_as_all_pairs(spark, monkeypatch):
     monkeypatch.setattr(ed, "BLOCK", 2)
     monkeypatch.setattr(ed, "TOGETHER", 8)
     check(spark, clustered(6, clusters=9, size=14, noise=0.04))
+
+
+@pytest.mark.parametrize("window, span", [(3, 7), (8, 8), (20, 64)])
+def test_windows_that_overflow_lose_no_link(spark, monkeypatch, window, span):
+    """Runs longer than the window and places cut by the ends of tasks, against all pairs."""
+    monkeypatch.setattr(ed, "WINDOW", window)
+    monkeypatch.setattr(ed, "SPAN", span)
+    monkeypatch.setattr(ed, "TOGETHER", 4)
+    check(spark, clustered(7, clusters=9, size=16, noise=0.04))
+
+
+def test_a_window_joins_its_neighbours(spark, monkeypatch):
+    """Each vector meets exactly the next ones of the order, also across the ends of tasks."""
+    monkeypatch.setattr(ed, "WINDOW", 5)
+    monkeypatch.setattr(ed, "SPAN", 8)
+    n = 40
+    vectors = spark.createDataFrame([(bytes([i]), [1.0, i / 1e6]) for i in range(n)], "node binary, vector array<double>")
+    orders = spark.createDataFrame([(bytes([i]), 0, 2, 0, 0, i) for i in range(n)], "node binary, label int, width int, pass int, run bigint, place bigint")
+    found = {(r.a[0], r.b[0]) for r in ed._neighbours(orders, vectors, 0.98).collect()}
+    assert all(0 < b - a <= 5 for a, b in found)
+    assert {i for pair in found for i in pair} == set(range(n))
+    reached = {0}
+    while more := {j for pair in found if reached & set(pair) for j in pair} - reached:
+        reached |= more
+    assert reached == set(range(n))

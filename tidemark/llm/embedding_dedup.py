@@ -1,13 +1,15 @@
-"""Near-duplicate embeddings by exact comparison in bounded cells.
-
-The vectors of a label are compared whole, as a grid of cells of bounded size,
-as long as that moves them no more often than passes of random hyperplanes
-would.  In larger labels every pass deals the vectors by the first bits of a
-new string, and each run that shares them is compared whole in the same grid;
-how many bits and passes decides alone how likely a pair is missed, however
-dense its surroundings.  If the runs hold as many pairs as the label, it is
-compared whole after all.  A cell returns verified links that join what its
-links join; inside the components all links are then counted in blocks.
+"""Near-duplicate embeddings by sorted projection passes.
+
+Every pass orders the vectors of a label by a string of hashes, the sides of
+random hyperplanes they lie on, and compares each vector with a bounded number
+of neighbours in that order.  Vectors that share the first bits of the string
+form a run; a run no longer than the window is thereby compared whole, and
+what the window leaves of a longer one is covered by a grid of bounded cells.
+A pair is missed only if it shares no run in any pass, and the number of
+passes bounds that chance, however dense its surroundings.  Cells and windows
+return verified links that join what all their links join; the links of all
+passes are united, and inside the components every link is then counted in
+blocks.
 """
 
 from __future__ import annotations
@@ -22,29 +24,37 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import quoted, read_table
 from tidemark.llm.components import connected_components
-from tidemark.operators.skew import join_to_groups
+from tidemark.operators.skew import join_to_groups, number_rows
 from tidemark.session import durable
 
-#: Vectors of a label or run that one task compares with as many others; strangers that share a run if spread evenly.
-BLOCK, TOGETHER = 4_096, 256
+#: Neighbours that a vector is compared with on either side of the order; places of the order in one task.
+WINDOW, SPAN = 256, 4_096
+#: Strangers that share a run if they are spread evenly.
+TOGETHER = 128
+#: Bits of a string.
+BITS = 62
+#: Vectors of a long run that one task compares with as many others.
+BLOCK = 4_096
 #: Vectors of a component that one task compares with as many others.
 CELL = 1_024
+#: Vectors of a component that meet its size in one task; larger ones are split.
+SPLIT = 16 * CELL
 #: A pair at the threshold is missed by all passes with at most this probability.
 MISSED = 1e-6
 
 
-def bits_for(largest_label: int, together: int = TOGETHER) -> int:
-    """Bits that split so many evenly spread vectors into runs of about `together`; a matter of cost alone."""
-    return min(62, max(1, math.ceil(math.log2(max(2, largest_label) / together))))
+def bits_for(n: int, together: int = TOGETHER) -> int:
+    """Leading bits that split `n` evenly spread vectors into runs of at most `together`; a matter of cost alone."""
+    return min(BITS, max(0, math.ceil(math.log2(max(1, n) / together))))
 
 
-def passes_for(largest_label: int, cosine: float, missed: float = MISSED) -> int:
+def passes_for(n: int, cosine: float, missed: float = MISSED, together: int = TOGETHER) -> int:
     """Passes in which a pair at the threshold shares no run with at most that probability.
 
     A bit agrees with probability 1 - angle / pi; runs are compared whole, so
-    a pair that agrees on all bits of some pass is found.
+    a pair that agrees on all leading bits of some pass is found.
     """
-    meet = (1 - math.acos(cosine) / math.pi) ** bits_for(largest_label)
+    meet = (1 - math.acos(cosine) / math.pi) ** bits_for(n, together)
     return max(4, math.ceil(math.log(missed) / math.log(1 - meet))) if meet < 1 else 4
 
 
@@ -59,10 +69,10 @@ def _stacked(column, size: int | None = None) -> np.ndarray:
     return np.array([np.asarray(v, dtype=np.float64) for v in column], dtype=np.float64).reshape(len(column), -1)
 
 
-def _strings(vectors: np.ndarray, number: int, bits: int, seed: int) -> np.ndarray:
-    """The bits of pass `number` as one integer."""
-    planes = np.random.default_rng([seed, number, vectors.shape[1]]).standard_normal((vectors.shape[1], bits))
-    return ((vectors @ planes) >= 0) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+def _strings(vectors: np.ndarray, number: int, seed: int) -> np.ndarray:
+    """The bits of pass `number` as one integer, the first of them highest."""
+    planes = np.random.default_rng([seed, number, vectors.shape[1]]).standard_normal((vectors.shape[1], BITS))
+    return ((vectors @ planes) >= 0) @ (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))
 
 
 def _joined(near: np.ndarray) -> list[tuple[int, int]]:
@@ -82,52 +92,82 @@ def _joined(near: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _passes(vectors: DataFrame, cosine: float, seed: int) -> DataFrame:
-    """Verified links (a, b) that join the nodes of a label as all of its links do, but for `MISSED`."""
-    label = vectors.schema["label"].dataType.simpleString()
-    labels = durable(vectors.groupBy("label", "width").agg(F.count(F.lit(1)).alias("n")))
-    largest = labels.agg(F.max("n")).first()[0] or 0
-    bits, total = bits_for(largest), passes_for(largest, cosine)
+def _orders(vectors: DataFrame, labels: DataFrame, cosine: float, seed: int) -> DataFrame:
+    """The order of every pass: node, label, width, pass, run (its leading bits) and `place`, counted over all rows.
+
+    Ids only; the vectors stay where they are.
+    """
+    label, together, bits_of = vectors.schema["label"].dataType.simpleString(), TOGETHER, BITS
 
     def key(batches):
         for batch in batches:
-            widths = batch.column("width").to_numpy()
-            for width in np.unique(widths):
-                part = batch.filter(pa.array(widths == width))
+            widths, counts = batch.column("width").to_numpy(), batch.column("n").to_numpy()
+            for width, n in sorted(set(zip(widths.tolist(), counts.tolist()))):
+                part = batch.filter(pa.array((widths == width) & (counts == n)))
                 unit = _unit(_stacked(part.column("vector").to_pylist()))
-                for number in range(total):
+                for number in range(passes_for(n, cosine, together=together)):
+                    strings = _strings(unit, number, seed)
                     yield pa.RecordBatch.from_arrays(
                         [part.column("node"), part.column("label"), part.column("width"),
-                         pa.array(np.full(part.num_rows, number, np.int32)),
-                         pa.array(_strings(unit, number, bits, seed)), part.column("vector")],
-                        names=["node", "label", "width", "pass", "string", "vector"],
+                         pa.array(np.full(part.num_rows, number, np.int32)), pa.array(strings),
+                         pa.array(strings >> np.int64(bits_of - bits_for(n, together)))],
+                        names=["node", "label", "width", "pass", "string", "run"],
                     )
 
-    def keyed(some: DataFrame) -> DataFrame:
-        return some.select("node", "label", "width", "vector").mapInArrow(
-            key, f"node binary, label {label}, width int, pass int, string bigint, vector array<double>"
-        )
-
-    whole, run = ["label", "width"], ["label", "width", "pass", "string"]
-    placed = vectors
-    if largest > total * BLOCK:
-        large = labels.where(F.col("n") > total * BLOCK)
-        runs = durable(
-            keyed(vectors.join(large.select(*whole), whole, "left_semi")).groupBy(*run).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        )
-        pairs = runs.groupBy(*whole).agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
-        split = durable(
-            large.join(pairs, whole, "left").where(F.coalesce("pairs", F.lit(0.0)) < F.col("n").cast("double") * F.col("n")).select(*whole)
-        )
-        placed = vectors.join(split, whole, "left_anti")
-        labels = labels.join(split, whole, "left_anti")
-    placed = placed.join(labels.where("n > 1"), whole).withColumns({"pass": F.lit(-1), "string": F.lit(0).cast("long")})
-    rows = placed.select("node", *run, "n", "vector")
-    sizes = labels.where("n > 1").select("n")
-    if largest > total * BLOCK:
-        rows = rows.unionByName(keyed(vectors.join(split, whole, "left_semi")).join(runs, run).select("node", *run, "n", "vector"))
-        sizes = sizes.unionByName(runs.join(split, whole, "left_semi").select("n"))
-    # Runs of up to a block share bins; larger ones are half a grid of blocks by blocks.
+    several = labels.where("n > 1").withColumn("group_rows", F.col("n"))
+    keyed = join_to_groups(vectors, several, ["label", "width"], "node").select("node", "label", "width", "n", "vector").mapInArrow(
+        key, f"node binary, label {label}, width int, pass int, string bigint, run bigint"
+    )
+    order = ["label", "width", "pass", "string", "node"]
+    return number_rows(keyed, order, "place", start=0).drop("string")
+
+
+def _neighbours(orders: DataFrame, vectors: DataFrame, cosine: float) -> DataFrame:
+    """Links (a, b) between vectors at most `WINDOW` places apart in some pass.
+
+    A task holds `SPAN` places and the window behind them, whatever the data.
+    """
+    window, span = WINDOW, max(SPAN, WINDOW)
+    cell = F.floor(F.col("place") / span)
+    behind = (F.col("place") % span < window) & (cell > 0)
+    dealt = orders.drop("run").withColumn("cell", F.explode(F.when(behind, F.array(cell, cell - 1)).otherwise(F.array(cell))))
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        out, end = [], (int(frame.cell.iloc[0]) + 1) * span
+        for _, same in frame.sort_values("place").groupby(["label", "width", "pass"], sort=False):
+            unit, nodes = _unit(_stacked(same.vector)), same.node.to_numpy()
+            own = int((same.place < end).sum())  # the others are asked in the next cell
+            for i in range(0, own, window):
+                ask, others = unit[i:min(i + window, own)], unit[i:i + 2 * window]
+                apart = np.arange(len(others))[None, :] - np.arange(len(ask))[:, None]
+                near = ((ask @ others.T) >= cosine) & (apart > 0) & (apart <= window)
+                out += [(nodes[i + a], nodes[i + b]) for a, b in _joined(near)]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    rows = dealt.join(vectors.select("node", "vector"), "node")
+    return rows.groupBy("cell").applyInPandas(compare, "a binary, b binary")
+
+
+def _long_runs(orders: DataFrame, vectors: DataFrame, labels: DataFrame, cosine: float) -> DataFrame:
+    """Links (a, b) inside runs longer than a window reaches, over all their pairs.
+
+    A run is half a grid of blocks by blocks; those of up to a block share
+    bins.  Where the long runs of all passes hold as many pairs as their
+    label, the grid of the label is taken once in their place.
+    """
+    whole, run = ["label", "width"], ["label", "width", "pass", "run"]
+    long = durable(orders.groupBy(*run).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WINDOW + 1))
+    pairs = long.groupBy(*whole).agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("pairs"))
+    at_once = durable(
+        labels.join(pairs, whole).where(F.col("pairs") >= F.col("n").cast("double") * F.col("n")).select(*whole, "n")
+    )
+    runs = long.join(at_once.select(*whole), whole, "left_anti")
+    in_runs = join_to_groups(orders.select("node", *run), runs.withColumn("group_rows", F.col("n")), run, "node")
+    in_labels = join_to_groups(
+        vectors.select("node", *whole), at_once.withColumn("group_rows", F.col("n")), whole, "node"
+    ).withColumns({"pass": F.lit(-1), "run": F.lit(0).cast("long")})
+    rows = in_runs.select("node", *run, "n").unionByName(in_labels.select("node", *run, "n"))
+    sizes = runs.select("n").unionByName(at_once.select("n"))
     small = sizes.where(F.col("n") <= BLOCK).agg(F.sum("n")).first()[0] or 0
     bin_ = F.pmod(F.xxhash64(*run), F.lit(math.ceil(small / BLOCK) or 1)).cast("int")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -151,7 +191,15 @@ def _passes(vectors: DataFrame, cosine: float, seed: int) -> DataFrame:
             out += [(nodes[rows[i]], nodes[columns[j]]) for i, j in _joined(near)]
         return pd.DataFrame(out, columns=["a", "b"])
 
-    return cells.groupBy("bin", "big", "row", "column").applyInPandas(compare, "a binary, b binary")
+    filled = cells.join(vectors.select("node", "vector"), "node")
+    return filled.groupBy("bin", "big", "row", "column").applyInPandas(compare, "a binary, b binary")
+
+
+def _links(vectors: DataFrame, cosine: float, seed: int) -> DataFrame:
+    """Verified links (a, b) that join the nodes of a label as all of its links do, but for `MISSED`."""
+    labels = durable(vectors.groupBy("label", "width").agg(F.count(F.lit(1)).alias("n")))
+    orders = durable(_orders(vectors, labels, cosine, seed))
+    return _neighbours(orders, vectors, cosine).unionByName(_long_runs(orders, vectors, labels, cosine))
 
 
 def _count_links(members: DataFrame, cosine: float) -> DataFrame:
@@ -160,9 +208,10 @@ def _count_links(members: DataFrame, cosine: float) -> DataFrame:
     A component is a grid of cells of bounded size; a cell returns one number
     per node, not its pairs.
     """
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("group_rows"))
+    sizes = sizes.withColumn("n", F.col("group_rows"))
     cells = F.ceil(F.col("n") / CELL).cast("int")
-    rows = members.alias("m").join(sizes.alias("s"), "component").withColumn("cells", cells).withColumn(
+    rows = join_to_groups(members, sizes, ["component"], "node", hot_rows=SPLIT).withColumn("cells", cells).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
     )
     base = ["component", "node", "vector", "copies"]
@@ -215,7 +264,7 @@ def near_embeddings(
             F.first("label").alias("label"), F.first("vector").alias("vector"), F.count(F.lit(1)).alias("copies")
         ).withColumn("width", F.size("vector"))
     )
-    components = durable(connected_components(durable(_passes(nodes, cosine, seed))))
+    components = durable(connected_components(durable(_links(nodes, cosine, seed))))
     members = durable(
         nodes.alias("n").join(components.alias("c"), "node").select("n.node", "n.vector", "n.copies", "c.component")
     )
