@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.catalogue_checks import FULL_PATH, NEWEST
@@ -74,6 +75,31 @@ def _(t):
     return lineage.reach(seeds, down.unionByName(on), hot_edges=5).select("node")
 
 
+@query(
+    "lin03_deep_chain",
+    """
+    WITH made AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS depth FROM orders),
+    -- The shortest way to an order leads over whole orders, to its line items one step further.
+    nodes AS (SELECT o_orderkey * 10 AS node, depth FROM made
+        UNION ALL SELECT DISTINCT l_orderkey * 10 + l_linenumber, depth + 1 FROM lineitem JOIN made ON l_orderkey = o_orderkey WHERE l_linenumber BETWEEN 1 AND 2)
+    SELECT CAST(node AS BIGINT) AS node, CAST(depth AS INTEGER) AS depth FROM nodes
+    """,
+)
+def _(t):
+    # A running file a customer: each order is made from the customer's previous one, and its line items lead on to the next.
+    last = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    o = t.base("orders").select("o_custkey", F.col("o_orderkey").cast("long").alias("o_orderkey")).withColumns(
+        {"place": F.row_number().over(last), "after": F.lead("o_orderkey").over(last)})
+    node = F.col("o_orderkey") * 10
+    straight = o.where("after IS NOT NULL").select(node.alias("node"), (F.col("after") * 10).alias("next"))
+    item = F.col("l_orderkey").cast("long") * 10 + F.col("l_linenumber")
+    items = t.base("lineitem").where("l_linenumber BETWEEN 1 AND 2").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    aside = items.select(node.alias("node"), item.alias("next"))
+    back = items.where("after IS NOT NULL AND l_linenumber = 1").select(item.alias("node"), (F.col("after") * 10).alias("next"))
+    edges = straight.unionByName(aside).unionByName(back)
+    return lineage.reach(o.where("place = 1").select(node.alias("node")), edges).select("node", "depth")
+
+
 @query(
     "lin03_ancestors",
     f"""

@@ -1,7 +1,10 @@
+import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import lineage
 from tidemark.operators.lineage import reach
 from tidemark.operators.skew import join_to_groups, number_rows
 from tidemark.session import durable, durable_partitioned
@@ -73,3 +76,44 @@ def test_reach_down_a_long_chain(spark):
 def test_reach_without_seeds(spark):
     edge_df = spark.createDataFrame([(1, 2)], "node bigint, next bigint")
     assert reach(edge_df.where("false").select("node"), edge_df).count() == 0
+
+
+@pytest.mark.parametrize("plain_rounds", [0, 1, 3])
+def test_reach_by_shortcuts_equals_brute_force(spark, plain_rounds):
+    """Chains that merge, part and close into cycles, a node that many point to, and seeds in mid-chain."""
+    rng = random.Random(plain_rounds)
+    edges = {(i, i + 1) for i in range(60) if i % 13}
+    edges |= {(i, 70) for i in range(200, 240)} | {(70, 71), (71, 72), (72, 0), (60, 60), (300, 301), (301, 302), (302, 300)}
+    edges |= {(rng.randrange(80), rng.randrange(80)) for _ in range(6)}
+    seeds = [1, 17, 205, 300, 999]
+    edge_df = spark.createDataFrame(sorted(edges) * 2, "node bigint, next bigint")
+    seed_df = spark.createDataFrame([(s,) for s in seeds], "node bigint")
+    found = reach(seed_df, edge_df, hot_edges=7, plain_rounds=plain_rounds).collect()
+    assert len(found) == len({r.node for r in found})
+    assert {r.node: r.depth for r in found} == brute_reach(seeds, sorted(edges))
+
+
+def test_a_chain_of_ten_thousand_takes_few_rounds(spark, monkeypatch):
+    rounds, levels = [], []
+    nearer, doubled = lineage._nearer, lineage._doubled
+    monkeypatch.setattr(lineage, "_nearer", lambda *a: rounds.append(1) or nearer(*a))
+    monkeypatch.setattr(lineage, "_doubled", lambda *a: levels.append(1) or doubled(*a))
+    n = 10_000
+    edge_df = spark.range(n).select(F.col("id").alias("node"), (F.col("id") + 1).alias("next"))
+    found = reach(spark.range(1).select(F.col("id").alias("node")), edge_df)
+    assert found.where("node <> depth").count() == 0 and found.count() == n + 1
+    assert len(levels) <= math.log2(n) + 1
+    assert len(rounds) <= math.log2(n) + lineage.PLAIN_ROUNDS + 2
+
+
+def test_nodes_already_found_are_not_shuffled(spark):
+    known = durable_partitioned(spark.range(1_000).select(F.col("id").alias("node"), F.lit(0).alias("depth")), 1, "node")
+    cand = spark.range(500, 1_500).select(F.col("id").alias("node")).groupBy("node").agg(F.lit(3).alias("depth"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = lineage._nearer(cand, [known, known])
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert sorted(r.node for r in fresh.collect()) == list(range(1_000, 1_500))

@@ -28,12 +28,17 @@ def children(links: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def reach(seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS) -> DataFrame:
+# Rounds of single steps before shortcuts are laid; lineage is mostly no deeper than the levels of data.
+PLAIN_ROUNDS = 4
+
+
+def reach(
+    seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS, plain_rounds: int = PLAIN_ROUNDS
+) -> DataFrame:
     """Every node reachable from the seeds, with the fewest steps to it.
 
     `seeds` has `node`; `edges` has `node` and `next`.  Seeds come back with
-    depth 0.  Only nodes are kept, never (seed, node) pairs, so the work is
-    linear in nodes and edges.
+    depth 0.  Only nodes are kept, never (seed, node) pairs.
 
     The edges are written once, bucketed by node, so that each round shuffles
     its frontier to them and not them.  Every node's edges are dealt over
@@ -41,30 +46,85 @@ def reach(seeds: DataFrame, edges: DataFrame, hot_edges: int = skew.HOT_ROWS) ->
     others has at most ``edges / hot_edges`` rows, which bounds its
     broadcast.  Each round is a table, so a lost executor repeats one round.
     Tables of nodes already found are merged like the digits of a binary
-    counter, so that a node is written again log2(rounds) times at most.
+    counter, so that a node is written again log2(rounds) times at most, and
+    merged tables are bucketed too.
+
+    What is not exhausted after `plain_rounds` is deep: from then on rounds
+    also follow shortcuts of 2, 4, 8, ... steps along nodes with one way on,
+    so that a stretch of n such nodes takes log2(n) rounds, and as many to
+    lay the shortcuts.  A node that a later round reaches by fewer steps
+    passes the better depth on.  Cycles end.
     """
     edges = durable(edges.select("node", "next"))
     degree = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_edges)
     hot = durable(degree.select("node", F.ceil(F.col("_n") / hot_edges).cast("int").alias("_shares")))
-    share = F.coalesce(F.pmod(F.xxhash64("next"), F.col("_shares")), F.lit(0)).cast("int")
-    spread = edges.join(F.broadcast(hot), "node", "left").select("node", "next", share.alias("_share"))
-    spread = durable_partitioned(spread, 1, "node", "_share")
+    single = edges.withColumn("steps", F.lit(1))
+    spread = _dealt(single, hot)
     shares = F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))
 
     frontier = durable(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
     found_so_far = [(1, frontier)]  # (rounds in it, table)
-    depth = 0
+    rounds = 0
     while not frontier.isEmpty():
-        depth += 1
-        ahead = frontier.join(F.broadcast(hot), "node", "left").select("node", shares.alias("_share"))
-        found = ahead.join(spread, ["node", "_share"]).select(F.col("next").alias("node")).distinct()
-        fresh = found.join(_union([table for _, table in found_so_far]).select("node"), "node", "left_anti")
-        frontier = durable(fresh.withColumn("depth", F.lit(depth)))
+        if rounds == plain_rounds:
+            spread = _dealt(_union([single, *_shortcuts(edges, hot_edges)]), hot)
+        rounds += 1
+        ahead = frontier.join(F.broadcast(hot), "node", "left").select("node", "depth", shares.alias("_share"))
+        found = ahead.join(spread, ["node", "_share"]).select(F.col("next").alias("node"), (F.col("depth") + F.col("steps")).alias("depth"))
+        found = found.groupBy("node").agg(F.min("depth").alias("depth"))
+        frontier = durable(_nearer(found, [table for _, table in found_so_far]))
         found_so_far.append((1, frontier))
         while len(found_so_far) > 1 and found_so_far[-2][0] == found_so_far[-1][0]:
             (n, earlier), (_, later) = found_so_far[-2:]
-            found_so_far[-2:] = [(2 * n, earlier.unionByName(later) if n == 1 else durable(earlier.unionByName(later)))]
-    return _union([table for _, table in found_so_far])
+            merged = earlier.unionByName(later)
+            found_so_far[-2:] = [(2 * n, merged if n == 1 else durable_partitioned(merged, 1, "node"))]
+    everything = _union([table for _, table in found_so_far])
+    return everything if rounds <= plain_rounds else everything.groupBy("node").agg(F.min("depth").alias("depth"))
+
+
+def _dealt(edges: DataFrame, hot: DataFrame) -> DataFrame:
+    """The edges bucketed by node, those of hot nodes over their shares."""
+    share = F.coalesce(F.pmod(F.xxhash64("next"), F.col("_shares")), F.lit(0)).cast("int")
+    dealt = edges.join(F.broadcast(hot), "node", "left").select("node", "next", "steps", share.alias("_share"))
+    return durable_partitioned(dealt, 1, "node", "_share")
+
+
+def _nearer(found: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """Nodes of `found` that no table holds at the same or a smaller depth.
+
+    One anti join a table: `found` is shuffled once by node, and bucketed
+    tables are met where they lie.
+    """
+    for table in tables:
+        known = table.select("node", F.col("depth").alias("_depth"))
+        found = found.join(known, (found["node"] == known["node"]) & (known["_depth"] <= found["depth"]), "left_anti")
+    return found
+
+
+def _shortcuts(edges: DataFrame, hot_edges: int) -> list[DataFrame]:
+    """Edges of 2, 4, 8, ... `steps` from nodes with one way on, by pointer doubling.
+
+    Each level has no more rows than there are such nodes, and only those with
+    that many steps ahead.  A cycle of them would never end: no level is
+    longer than their number.
+    """
+    ways = edges.groupBy("node").agg(F.min("next").alias("next"), F.max("next").alias("_other"))
+    now = durable(ways.where((F.col("next") == F.col("_other")) & (F.col("next") != F.col("node"))).select("node", "next"))
+    nodes, steps, levels = now.count(), 2, []
+    while steps <= nodes:
+        now = durable(_doubled(now, hot_edges))
+        if now.isEmpty():
+            break
+        levels.append(now.withColumn("steps", F.lit(steps)))
+        steps *= 2
+    return levels
+
+
+def _doubled(now: DataFrame, hot_edges: int) -> DataFrame:
+    """Each pointer followed by the one it points to; a node that very many point to is repeated over shares."""
+    ahead = now.select(F.col("node").alias("next"), F.col("next").alias("_beyond"))
+    pointed = now.groupBy("next").agg(F.count(F.lit(1)).alias("group_rows")).join(ahead, "next")
+    return skew.join_to_groups(now, pointed, ["next"], "node", hot_rows=hot_edges).select("node", F.col("_beyond").alias("next"))
 
 
 def _union(pieces: list[DataFrame]) -> DataFrame:
