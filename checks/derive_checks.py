@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from checks.audit_checks import DISK, files_of_documents
 from checks.plan_checks import WALKED, _queue, plan_catalogue
 from checks.registry import query
 from tidemark.operators import derive
 from tidemark.plans import reprocess
+from tidemark.sources.listing import full_uri, list_folder
 
 
 @query(
@@ -95,3 +97,43 @@ def _(t):
     names = made.files.select(F.col("file_id").alias("resulting_file"), "filename")
     return made.filefilelink.join(made.filecodelink, "resulting_file").join(names, "resulting_file").select(
         "filename", F.col("source_code").alias("code_id"), "source_file")
+
+
+def _framed():
+    """A program in pieces: every input between a byte 0 and a byte 255, which no text holds."""
+
+    def work(inputs, arguments, output):
+        for given in inputs:
+            output.write(b"\x00")
+            for part in given.portions():
+                output.write(part)
+            output.write(b"\xff")
+
+    return work
+
+
+_SETS = f"""
+  WITH d AS (SELECT concat('set_', CAST(FLOOR(doc_id / 4) AS BIGINT), '.bin') AS output, * FROM ({DISK})),
+  r AS (SELECT output AS filename, max(CASE WHEN doc_id % 11 = 3 THEN 1 ELSE 0 END) AS gap,
+      unhex(string_agg(concat('00', hex(encode(content)), 'FF'), '' ORDER BY filename)) AS bytes FROM d GROUP BY 1)
+"""
+
+
+@query(
+    "derive01_binary",
+    _SETS + """SELECT filename, CASE WHEN gap = 1 THEN 'failed' ELSE 'ok' END AS status,
+      CASE WHEN gap = 0 THEN octet_length(bytes) END AS length, CASE WHEN gap = 0 THEN sha1(bytes) END AS shasum,
+      CASE WHEN gap = 0 THEN sha1(bytes) END AS shasum_on_disk FROM r""",
+)
+def _(t):
+    # Four files a run, read and written by path; a run with a file that is not there fails. The folder is listed afterwards.
+    from tidemark.operators.programs import run_programs
+
+    folder, listed = files_of_documents(t)
+    files = listed.select(F.col("doc_id").alias("file_id"), "filename", F.concat(F.lit("file://"), "full_path").alias("uri"))
+    runs = files.groupBy(F.concat(F.lit("set_"), F.floor(F.col("file_id") / 4), F.lit(".bin")).alias("filename")).agg(
+        F.collect_list("file_id").alias("inputs"))
+    made = f"{full_uri(folder)}_made"
+    results = run_programs(runs, files, _framed(), made)
+    lying = list_folder(t.spark, made, recursive=True, digest=True).select("filename", F.col("shasum").alias("shasum_on_disk"))
+    return results.drop("error", "uri").join(lying, "filename", "full")

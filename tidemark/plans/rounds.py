@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.model import Catalogue, conform
 from tidemark.operators.derive import UserCode, failed, ingest_outputs, run_code, succeeded
+from tidemark.operators.programs import FileProgram, run_commands, run_programs
 from tidemark.operators.trace import trace_products
 from tidemark.plans.reprocess import plan_changes, run_list, with_arguments
 from tidemark.session import durable
@@ -58,13 +59,14 @@ def _all(pieces: list[DataFrame], spark, schema: str) -> DataFrame:
 def process_queue(
     catalogue: Catalogue,
     contents: DataFrame,
-    code: UserCode,
+    code: UserCode | FileProgram | None,
     rules: DataFrame,
     root: str,
     code_root: str,
     created,
     on_results: Callable[[DataFrame, DataFrame], None] | None = None,
     journal: str | None = None,
+    folder: str | None = None,
 ) -> Processed:
     """Empty the queue: each round plans all queued files, runs and catalogues the outputs.
 
@@ -76,9 +78,23 @@ def process_queue(
     are not run again.  What RUN processes print is in its table ``side``, see
     :func:`side_output`.  `on_results` is called before a round is published
     and so may see a round twice.
+
+    With `folder` the work is done on files: `contents` has file_id and uri,
+    `code` is a program over files, or None for each process's own code as a
+    command line, and outputs lie in `folder`.  The result's `contents` and
+    what is kept of RUN processes then hold a uri as well.
     """
     spark = contents.sparkSession
     trace = trace_products(catalogue)
+    held = "content" if folder is None else "uri"
+    contents = contents.select("file_id", held)
+
+    def ran(runs: DataFrame) -> DataFrame:
+        if folder is None:
+            return durable(run_code(runs, catalogue.file, contents, code))
+        files = catalogue.file.select("file_id", "filename").join(contents, "file_id")
+        return run_commands(runs, files, folder) if code is None else run_programs(runs, files, code, folder)
+
     queue = durable(catalogue.processqueue.select("file_id", "version_bump"))
     rounds, errors, refused = 0, [], []
     state = Versions(spark, journal, "rounds") if journal is not None else None
@@ -86,7 +102,7 @@ def process_queue(
     if done is not None and done.batch is not None:
         rounds = done.batch
         catalogue = _grown(catalogue, {table: state.read(table, done) for table in GROWING})
-        contents = contents.select("file_id", "content").unionByName(state.read("contents", done))
+        contents = contents.unionByName(state.read("contents", done))
         errors, refused = [state.read("failed", done)], [state.read("quarantine", done)]
         queue = state.added("queue", done.version)
     while not queue.isEmpty():
@@ -96,19 +112,19 @@ def process_queue(
             break
         rounds += 1
         runs = with_arguments(catalogue, runs, root, code_root)
-        results = durable(run_code(runs, catalogue.file, contents, code))
+        results = ran(runs)
         if on_results is not None:
             on_results(runs, results)
         made = ingest_outputs(catalogue, runs, results, rules, trace, root, created)
         files = durable(made.files)
-        new = files.select("file_id", "filename").join(results.select("filename", "content"), "filename")
+        new = files.select("file_id", "filename").join(results.select("filename", held), "filename")
         printed = runs.where("timebase = 'RUN'").select("filename")
         rows = {
             "file": conform(files, "file"), "filecodelink": conform(made.filecodelink, "filecodelink"),
-            "filefilelink": conform(made.filefilelink, "filefilelink"), "contents": new.select("file_id", "content"),
+            "filefilelink": conform(made.filefilelink, "filefilelink"), "contents": new.select("file_id", held),
             "failed": failed(results).withColumn("round", F.lit(rounds)),
             "quarantine": made.ingested.quarantine.withColumn("round", F.lit(rounds)),
-            "side": succeeded(results).join(printed, "filename", "left_semi").select("filename", "content", F.lit(rounds).alias("round")),
+            "side": succeeded(results).join(printed, "filename", "left_semi").select("filename", held, F.lit(rounds).alias("round")),
             "queue": files.select("file_id", F.lit(None).cast("smallint").alias("version_bump")),
         }
         if state is not None:
@@ -118,7 +134,7 @@ def process_queue(
             rows = {table: durable(frame) for table, frame in rows.items() if table != "side"}
         errors.append(rows["failed"])
         refused.append(rows["quarantine"])
-        contents = contents.select("file_id", "content").unionByName(rows["contents"])
+        contents = contents.unionByName(rows["contents"])
         catalogue = _grown(catalogue, rows)
         queue = rows["queue"]
     return Processed(
@@ -131,7 +147,7 @@ def process_queue(
 
 
 def side_output(spark: SparkSession, journal: str) -> DataFrame:
-    """What RUN processes have printed in the finished rounds: filename, content, round."""
+    """What RUN processes have printed in the finished rounds: filename, content (or uri), round."""
     state = Versions(spark, journal, "rounds")
     found = state.read("side", state.manifest())
     return spark.createDataFrame([], "filename string, content string, round int") if found is None else found
