@@ -137,3 +137,15 @@ def test_the_query_spells_spans(spark):
     row = pii.op2_personal_data(spark, "/root/testdata/sf0.001").where("n_email > 0").first()
     base = [s for s in row.spans.split(",") if s.split(":")[0] in FORMS]
     assert hashlib.sha256(",".join(base).encode()).hexdigest() == row.base_sha256
+
+
+def test_the_query_counts_each_kind(spark, tmp_path):
+    rows = [(0, "a@b.cc and c@d.ee, 1.2.3.4"), (1, "1.2.3.4 5.6.7.8 9.9.9.9 x@y.zz"), (2, "+1 (377) 555-0271, 4111 1111-1111 1111"),
+            (3, "4111111111111111 +1 (377) 555-0271 +1 (377) 555-0272"), (4, None), (5, "none"), (None, "1.2.3.4 a@b.cc c@d.ee")]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in pii.op2_personal_data(spark, str(tmp_path)).collect()}
+    for doc_id, text in rows:
+        base = plain(text or "")
+        r = found[doc_id]
+        assert [r[f"n_{kind}"] for kind in FORMS] == [sum(k == kind for k, _, _ in base) for kind in FORMS]
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()

@@ -356,12 +356,15 @@ def spelled(spans: Column) -> Column:
     )
 
 
+def n_spans(kind: str) -> Column:
+    """Number of a row's spans of one kind."""
+    number = KINDS.index(kind)  # not an argument of the lambda: Spark gives a second one the place in the array
+    return F.size(F.filter("spans", lambda x: x["kind"] == number)).cast("long")
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_spans(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda x: x["kind"] < 4)
-    counts = [
-        F.size(F.filter("spans", lambda x, i=i: x["kind"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(KINDS[:4])
-    ]
     return found.select(
-        "doc_id", *counts, F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans")
+        "doc_id", *[n_spans(kind).alias(f"n_{kind}") for kind in KINDS[:4]], F.sha2(spelled(base), 256).alias("base_sha256"), spelled(F.col("spans")).alias("spans")
     )
