@@ -185,3 +185,32 @@ def test_rounds_over_files(spark, tmp_path):
     assert digests["rot_20160102_v1.0.0.txt"] == hashlib.sha1(held["rot_20160102_v1.0.0.txt"]).hexdigest()
     printed = side_output(spark, journal).collect()
     assert len(printed) == 2 and all(r.uri == f"file://{out}/{r.filename}" for r in printed)
+
+
+def test_runs_go_through_a_task_as_a_stream(spark, monkeypatch, capsys):
+    """Not one call of a worker a run: runs over the edges of portions, with gaps, failures and no inputs."""
+    from tidemark.operators import derive
+
+    monkeypatch.setattr(derive, "MADE", 4)
+    runs = [(f"o{i}", list(range(i, i + i % 9))) for i in range(40)] + [("none", None), ("gap", [1, 99, None])]
+    files = [(i, f"f{50 - i:02}", f"c{i}" if i % 5 else None) for i in range(50)]
+
+    def code(inputs, arguments, name):
+        if len(inputs) > 6:
+            raise ValueError(name)
+        return "|".join(f"{r.file_id}{r.filename}{r.content}" for r in inputs.itertuples())
+
+    given = spark.createDataFrame(runs, "filename string, inputs array<bigint>")
+    table = spark.createDataFrame(files, "file_id bigint, filename string, content string")
+    made = derive.run_code(given, table.drop("content"), table.drop("filename"), code)
+    made.explain()
+    assert "MapInArrow" in (plan := capsys.readouterr().out) and "FlatMapGroups" not in plan
+    got = {r.filename: (r.status, r.content) for r in made.collect()}
+    facts = {i: (name, content) for i, name, content in files}
+    want = {}
+    for name, ids in runs:
+        known = sorted((i for i in ids or [] if i in facts), key=lambda i: facts[i][0])
+        known += [i for i in ids or [] if i is not None and i not in facts]
+        text = "|".join(f"{i}{''.join(map(str, facts.get(i, (None, None))))}" for i in known)
+        want[name] = ("failed", None) if len(known) > 6 else ("ok", text)
+    assert got == want

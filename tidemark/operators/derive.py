@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, groupby
+from operator import itemgetter
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,9 @@ from tidemark.operators.ingest import Ingested, ingest_batch
 # User code: (inputs with file_id, filename, content; arguments; output name) -> text of the output.
 UserCode = Callable[[pd.DataFrame, list[str], str], str]
 
+# Results a task hands over at once, and the characters of their contents.
+MADE, MADE_SIZE = 1_000, 1 << 24
+
 RESULT = "filename string, status string, error string, content string, shasum string"
 
 
@@ -66,22 +72,43 @@ def run_code(runs: DataFrame, files: DataFrame, contents: DataFrame, code: UserC
     asked = runs.select("filename", arguments.alias("arguments"), F.explode_outer("inputs").alias("file_id"))
     named = asked.join(files.select("file_id", F.col("filename").alias("input")), "file_id", "left")
     rows = named.join(contents.select("file_id", "content"), "file_id", "left")
+    # A run's rows lie side by side: a task goes through them as a stream, a portion and a run at a time.
+    lined_up = rows.select("filename", "arguments", "file_id", "input", "content").repartition("filename").sortWithinPartitions(
+        "filename", F.col("input").asc_nulls_last(), "file_id")
 
-    def one_run(frame: pd.DataFrame) -> pd.DataFrame:
-        name = frame["filename"].iloc[0]
-        given = frame[frame["file_id"].notna()].sort_values("input")
-        inputs = pd.DataFrame({
-            "file_id": given["file_id"], "filename": given["input"], "content": given["content"]})
-        words = frame["arguments"].iloc[0]
+    def one_run(name: str | None, words: list[str] | None, inputs: list[tuple]) -> tuple:
         try:
-            content = code(inputs.reset_index(drop=True), list(words if words is not None else []), name)
-            digest = hashlib.sha1(content.encode()).hexdigest()
-            out = (name, "ok", None, content, digest)
+            frame = pd.DataFrame(dict(zip(("file_id", "filename", "content"), zip(*inputs))) or {"file_id": [], "filename": [], "content": []})
+            content = code(frame, words or [], name)
+            return name, "ok", None, content, hashlib.sha1(content.encode()).hexdigest()
         except Exception as error:  # user code may fail in any way; the run is recorded as failed
-            out = (name, "failed", f"{type(error).__name__}: {error}", None, None)
-        return pd.DataFrame([out], columns=["filename", "status", "error", "content", "shasum"])
-
-    return rows.groupBy("filename").applyInPandas(one_run, RESULT)
+            return name, "failed", f"{type(error).__name__}: {error}", None, None
+
+    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        portions = (batch.slice(at, MADE) for batch in batches for at in range(0, batch.num_rows, MADE))
+        rows = (row for portion in portions for row in zip(*(column.to_pylist() for column in portion.columns)))
+        for name, run in groupby(rows, itemgetter(0)):
+            _name, words, *first = next(run)
+            inputs = [given for given in chain([first], (row[2:] for row in run)) if given[0] is not None]
+            yield one_run(name, words, inputs)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, size = [], 0
+        for result in taken(batches):
+            made.append(result)
+            size += len(result[3] or "")
+            if len(made) >= MADE or size >= MADE_SIZE:
+                yield _results(made)
+                made, size = [], 0
+        if made:
+            yield _results(made)
+
+    return lined_up.mapInArrow(work, RESULT)
+
+
+def _results(made: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(column, pa.string()) for column in zip(*made)]
+    return pa.RecordBatch.from_arrays(columns, names=["filename", "status", "error", "content", "shasum"])
 
 
 def succeeded(results: DataFrame) -> DataFrame:
