@@ -213,3 +213,23 @@ def test_conform_orders_and_fills(spark):
     with pytest.raises(ValueError):
         from tidemark import Catalogue
         Catalogue(nothing=df)
+
+
+def test_a_local_folder_is_listed_as_a_stream(spark, tmp_path, monkeypatch):
+    """In portions, without the store's list of the whole folder; sizes and times as the store tells them."""
+    from pyarrow import fs
+
+    from tidemark.sources import listing
+
+    (tmp_path / "sub").mkdir()
+    for i in range(50):
+        (tmp_path / f"f{i}").write_bytes(b"x" * i)
+    (tmp_path / "sub" / "_in").write_bytes(b"")
+    (tmp_path / "nowhere").symlink_to(tmp_path / "gone")
+    told = {f.path: (f.type, f.size, f.mtime_ns) for f in fs.LocalFileSystem().get_file_info(fs.FileSelector(str(tmp_path)))}
+    found = listing.entries_of(fs.LocalFileSystem(), str(tmp_path))
+    assert iter(found) is found and {path: facts for path, *facts in found} == {p: list(facts) for p, facts in told.items()}
+    monkeypatch.setattr(listing, "LISTED", 7)
+    rows = {r.path: (r.length, r.modified) for r in listing.list_folder(spark, str(tmp_path), recursive=True).collect()}
+    want = fs.LocalFileSystem().get_file_info(fs.FileSelector(str(tmp_path), recursive=True))
+    assert rows == {f.path: (f.size, f.mtime.replace(tzinfo=None)) for f in want if f.type == fs.FileType.File}

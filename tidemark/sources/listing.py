@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 import os
 import re
+import stat
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import islice
 
 import pandas as pd
 from pyarrow import fs
@@ -23,6 +26,9 @@ _SCHEME = r"^[a-zA-Z0-9+.-]+:(//[^/]*(?=/))?"
 # Bytes of a file that are read at once.
 PORTION = 1 << 20
 
+# Entries of a folder that are handed over at once.
+LISTED = 5_000
+
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -65,6 +71,26 @@ def store_of(uri: str) -> tuple[fs.FileSystem, str, str]:
     return store, f"{base}/{inner}", f"{scheme}://{authority}".removesuffix(base)
 
 
+def entries_of(store: fs.FileSystem, inner: str) -> Iterator[tuple[str, fs.FileType, int | None, int | None]]:
+    """(path, type, size, time in ns) of what lies directly in a folder, a local one as a stream: it may hold any number of files."""
+    if not isinstance(store, fs.LocalFileSystem):
+        yield from ((f.path, f.type, f.size, f.mtime_ns) for f in store.get_file_info(fs.FileSelector(inner)))
+        return
+    with os.scandir(inner) as found:
+        for entry in found:
+            try:
+                about = entry.stat()
+            except FileNotFoundError:
+                continue  # a link to nothing, or gone since
+            kind = fs.FileType.File if stat.S_ISREG(about.st_mode) else fs.FileType.Directory if stat.S_ISDIR(about.st_mode) else fs.FileType.Unknown
+            size = about.st_size if kind == fs.FileType.File else None
+            yield f"{inner.rstrip('/')}/{entry.name}", kind, size, about.st_mtime_ns
+
+
+def _time(ns: int | None) -> dt.datetime | None:
+    return None if ns is None else dt.datetime.fromtimestamp(ns / 1e9, dt.UTC).replace(tzinfo=None)
+
+
 def _scan(folders: DataFrame) -> DataFrame:
     """What lies directly in each folder (`uri`), one task per share of the folders."""
 
@@ -72,11 +98,9 @@ def _scan(folders: DataFrame) -> DataFrame:
         for frame in frames:
             for uri in frame["uri"]:
                 store, inner, start = store_of(uri)
-                rows = [
-                    (start + f.path, f.type == fs.FileType.Directory, f.size, f.mtime and f.mtime.replace(tzinfo=None))
-                    for f in store.get_file_info(fs.FileSelector(inner))
-                ]
-                yield pd.DataFrame(rows, columns=["uri", "is_folder", "length", "modified"])
+                entries = ((start + path, kind == fs.FileType.Directory, size, _time(ns)) for path, kind, size, ns in entries_of(store, inner))
+                while rows := list(islice(entries, LISTED)):
+                    yield pd.DataFrame(rows, columns=["uri", "is_folder", "length", "modified"])
 
     return folders.select("uri").mapInPandas(run, "uri string, is_folder boolean, length bigint, modified timestamp_ntz")
 
