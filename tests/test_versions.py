@@ -143,3 +143,24 @@ def test_snapshots_give_each_state_of_a_file_once(tmp_path):
     assert len(Snapshots(options["snapshots"]).read(3)["old"]) == 3  # what is gone leaves the snapshots
     reader.commit({"snapshot": 3})
     assert sorted(p.name for p in (tmp_path / "done").iterdir()) == [".c.dat", "_b.dat", "empty.dat", "other.txt"]
+
+
+def test_a_share_is_all_that_its_reader_meets(tmp_path):
+    """However much was given out before, a task opens the mark and its own share."""
+    inbox = tmp_path / "in"
+    for name in ("b", "a/b", "a.x", "a/c/d", "a-", "ab"):
+        (inbox / name).parent.mkdir(parents=True, exist_ok=True)
+        (inbox / name).write_bytes(b"1")
+    options = {"path": str(inbox), "snapshots": str(tmp_path / "marks"), "recursive": "true", "files_per_batch": "4", "files_per_share": "3"}
+    reader = IncomingReader(options)
+    assert reader.latestOffset() == {"snapshot": 1}
+    (inbox / "a" / "b").write_bytes(b"22")
+    (inbox / "z").write_bytes(b"1")
+    assert reader.latestOffset() == {"snapshot": 2}
+    for old in (tmp_path / "marks").glob("*.old"):
+        old.unlink()
+    shares = reader.partitions({"snapshot": -1}, {"snapshot": 2})
+    before = [[r[:2] for r in reader.snapshots.share(s.number, s.share)] for s in shares]
+    names = [[path.removeprefix(f"{inbox}/") for path, _size in share] for share in before]
+    assert names == [["a-", "a.x", "a/b"], ["a/c/d"], ["ab", "b"], ["a/b", "z"]]
+    assert [(r[0], r[3], r[4]) for r in reader.read(shares[3])] == [(2, "a/b", 2), (2, "z", 1)]
