@@ -168,17 +168,19 @@ def files_of_documents(t):
         "doc_id", name.alias("filename"), F.concat(F.lit(f"{folder}/"), F.col("doc_id") % 10, F.lit("/"), name).alias("full_path"),
         F.when(F.col("doc_id") % 7 == 0, "").otherwise(F.coalesce("text", F.lit(""))).alias("text"))
 
-    def write(frames):
+    def write(batches):
         import os
 
-        for frame in frames:
-            for path, text in zip(frame["full_path"], frame["text"]):
-                os.makedirs(os.path.dirname(path), exist_ok=True)
-                with open(path, "wb") as file:
-                    file.write(text.encode())
-            yield frame[["doc_id"]]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):  # so few texts at a time lie in a worker as Python's
+                part = batch.slice(at, 100)
+                for path, text in zip(part.column("full_path").to_pylist(), part.column("text").to_pylist()):
+                    os.makedirs(os.path.dirname(path), exist_ok=True)
+                    with open(path, "wb") as file:
+                        file.write(text.encode())
+            yield batch.select(["doc_id"])
 
-    written = files.where("doc_id % 11 <> 3").mapInPandas(write, "doc_id bigint")
+    written = files.where("doc_id % 11 <> 3").mapInArrow(write, "doc_id bigint")
     written.agg(F.count("doc_id")).collect()
     return folder, files
 
