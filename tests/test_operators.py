@@ -1,9 +1,11 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import Small, ids
+from tidemark.model import Catalogue
 from tidemark.operators import audit, catalogue, coverage, edits, lineage, logs, workset
 from tidemark.operators.trace import code_for_process, trace_products
 from tidemark.plans import retention
@@ -127,6 +129,20 @@ def test_a_catalogue_does_not_differ_from_itself(small):
     assert audit.compare_codes_of_files(small, small).count() == 0
 
 
+def test_repeated_keys_are_counted_in_tasks_of_bounded_size(spark, monkeypatch):
+    """However few bytes the rows have, a task gets a portion of them; the table is made once."""
+    monkeypatch.setattr(audit, "COUNTED_ROWS", 10)
+    pairs = [(i, i + 1) for i in range(45)] + [(3, 4), (3, 4), (None, 9), (None, 9)]
+    links = spark.createDataFrame(pairs, "source_file bigint, resulting_file bigint").distinct().unionByName(
+        spark.createDataFrame([(3, 4), (None, 9)], "source_file bigint, resulting_file bigint"))
+    found = audit.table_violations(Catalogue(filefilelink=links), "filefilelink")
+    unique = found.where("rule like 'unique%'")
+    assert [(r.key, r.detail) for r in unique.collect()] == [("3|4", "2 rows")]
+    plan = unique._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(source_file#\d+L, resulting_file#\d+L, 5\), REPARTITION_BY_NUM", plan)
+    assert not re.search(r"aggregate.*keys=\[source_file#\d+L, resulting_file#\d+L\], functions=\[\]", plan, re.I)
+
+
 def test_rules_on_a_good_catalogue(small):
     assert [(r.table_name, r.rule) for r in audit.violations(small).collect()] == [
         ("file", "has_stop"), ("file", "has_start"), ("file", "has_stop"), ("file", "has_start")]

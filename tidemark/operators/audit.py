@@ -11,6 +11,10 @@ from tidemark.functions.version import version_of
 from tidemark.model import TABLES, Catalogue
 from tidemark.operators.catalogue import CELL, cell_versions, newest, newest_by_legacy_number, newest_ids
 from tidemark.operators.skew import join_to_groups
+from tidemark.session import durable
+
+# Rows of a table that one task looks through for repeated keys.
+COUNTED_ROWS = 1_000_000
 
 
 def _union(pieces: list[DataFrame]) -> DataFrame:
@@ -29,8 +33,17 @@ def table_violations(
     `unique` replaces the table's unique column sets.  As in SQL a unique set
     with a null in it is not compared, and a check that yields null passes.
     Rules on columns the table does not have are left out.
+
+    The table is written once, as every rule reads it.  A unique set is
+    counted in as many tasks as the table has portions of `COUNTED_ROWS`:
+    narrow rows shuffle to few bytes, of which AQE would give a task any
+    number.  Rows that repeat one key are counted as they come.
     """
-    rows, spec = getattr(catalogue, table), TABLES[table]
+    spec = TABLES[table]
+    rows = getattr(catalogue, table)
+    asked = {*spec.schema.fieldNames(), *(c for columns in unique or () for c in columns)}
+    rows = durable(rows.select(*[c for c in rows.columns if c in asked]))
+    tasks = -(-rows.count() // COUNTED_ROWS) or 1
     have = set(rows.columns)
     own = [c for c in spec.key if c in have]
     out = []
@@ -61,7 +74,7 @@ def table_violations(
     for columns in (spec.key, *(spec.unique if unique is None else unique)):
         if set(columns) <= have:
             filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
-            repeated = rows.where(filled).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+            repeated = rows.where(filled).repartition(tasks, *columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
             found(repeated, f"unique {','.join(columns)}", _key(columns),
                   F.concat(F.col("_n"), F.lit(" rows")))
     for column, target in spec.references.items():
