@@ -11,6 +11,7 @@ from tidemark.operators import lineage
 from tidemark.operators.catalogue import full_paths, newest_ids
 from tidemark.operators.trace import trace_products
 from tidemark.plans import retention
+from tidemark.session import durable
 
 # Everything made from, or used to make, the files of `seed`.
 DOWN = """down AS (SELECT file_id FROM seed UNION SELECT l.resulting_file FROM down JOIN v_filefilelink l ON l.source_file = down.file_id)"""
@@ -162,9 +163,10 @@ _SEED = "seed AS (SELECT file_id FROM v_file WHERE NOT exists_on_disk AND qualit
     """,
 )
 def _(t):
-    c = catalogue(t)
+    links = durable(t.filefilelink)  # followed and reported
+    c = catalogue(t).replace(filefilelink=links)
     seeds = t.file.where("NOT exists_on_disk AND quality_version = 0").select("file_id")
-    gone = lineage.descendants(seeds, c.filefilelink).select("file_id")
+    gone = lineage.descendants(seeds, links).select("file_id")
     keys = {"filefilelink": ["source_file", "resulting_file"], "filecodelink": ["resulting_file", "source_code"]}
     rows = [
         df.select(F.lit(name).alias("table_name"), F.concat_ws(">", *keys.get(name, ["file_id"])).alias("key"))

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.model import Catalogue
 from tidemark.operators import lineage
 from tidemark.operators.lineage import reach
 from tidemark.operators.skew import join_to_groups, number_rows
@@ -106,6 +107,38 @@ def test_a_chain_of_ten_thousand_takes_few_rounds(spark, monkeypatch):
     assert len(rounds) <= math.log2(n) + lineage.PLAIN_ROUNDS + 2
 
 
+@pytest.mark.parametrize("worth", [0, 1_000])
+def test_late_rounds_read_the_edges_that_are_still_open(spark, monkeypatch, worth):
+    """Nodes with several ways to them, as n is made from n / 2 and n / 3; a hot node and a cycle beside them."""
+    dealt, met = [], []
+    deal, nearer = lineage._dealt, lineage._nearer
+    monkeypatch.setattr(lineage, "WORTH", worth)
+    monkeypatch.setattr(lineage, "_dealt", lambda edges, hot: dealt.append(edges.count()) or deal(edges, hot))
+    monkeypatch.setattr(lineage, "_nearer", lambda found, tables: met.append(sum(t.count() for t in tables)) or nearer(found, tables))
+    edges = {(n // 2, n) for n in range(1, 600)} | {(n // 3, n) for n in range(2, 600)} | {(7, n) for n in range(600, 640)}
+    edges |= {(599, 700), (700, 701), (701, 599), (701, 702), (702, 703)}
+    seeds = [n for n in range(1, 600) if n % 97 == 5]
+    edge_df = spark.createDataFrame(sorted(edges), "node bigint, next bigint")
+    seed_df = spark.createDataFrame([(s,) for s in seeds], "node bigint")
+    found = reach(seed_df, edge_df, hot_edges=9, plain_rounds=2).collect()
+    want = brute_reach(seeds, sorted(edges))
+    assert len(found) == len(want) and {r.node: r.depth for r in found} == want
+    if worth:
+        assert min(dealt) < 0.6 * dealt[0]
+        assert max(met[-2:]) < len(want) / 2
+
+
+def test_ids_that_go_are_worked_out_once(spark):
+    """`purged_rows` meets a written table of ids, whatever they were made by."""
+    ids = spark.range(3).select((F.col("id") + 1).alias("file_id")).unionByName(spark.range(1).select((F.col("id") + 1).alias("file_id")))
+    links = spark.createDataFrame([(1, 5), (5, 2), (6, 7), (None, 3)], "source_file bigint, resulting_file bigint")
+    files = spark.createDataFrame([(i, f"f{i}") for i in range(1, 6)], "file_id bigint, filename string")
+    rows = lineage.purged_rows(Catalogue(file=files, filefilelink=links), ids)
+    assert sorted(r.file_id for r in rows["file"].collect()) == [1, 2, 3]
+    assert sorted((r.source_file or 0, r.resulting_file) for r in rows["filefilelink"].collect()) == [(0, 3), (1, 5), (5, 2)]
+    assert "Range (" not in rows["filefilelink"]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nodes_already_found_are_not_shuffled(spark):
     known = durable_partitioned(spark.range(1_000).select(F.col("id").alias("node"), F.lit(0).alias("depth")), 1, "node")
     cand = spark.range(500, 1_500).select(F.col("id").alias("node")).groupBy("node").agg(F.lit(3).alias("depth"))

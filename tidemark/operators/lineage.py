@@ -30,6 +30,8 @@ def children(links: DataFrame, files: DataFrame) -> DataFrame:
 
 # Rounds of single steps before shortcuts are laid; lineage is mostly no deeper than the levels of data.
 PLAIN_ROUNDS = 4
+# Edges are written anew without those to settled nodes if there are at most so many to a node found since the last time.
+WORTH = 8
 
 
 def reach(
@@ -54,34 +56,68 @@ def reach(
     so that a stretch of n such nodes takes log2(n) rounds, and as many to
     lay the shortcuts.  A node that a later round reaches by fewer steps
     passes the better depth on.  Cycles end.
+
+    Whenever the rounds have doubled, edges to nodes that no later round can
+    reach by fewer steps are left out, and these nodes are no longer looked
+    for among the found, so that the many late rounds of a wide reach read
+    what is still open and not the whole table.
     """
     edges = durable(edges.select("node", "next"))
     degree = edges.groupBy("node").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_edges)
     hot = durable(degree.select("node", F.ceil(F.col("_n") / hot_edges).cast("int").alias("_shares")))
-    single = edges.withColumn("steps", F.lit(1))
-    spread = _dealt(single, hot)
+    spread = _dealt(edges.withColumn("steps", F.lit(1)), hot)
     shares = F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))
 
     frontier = durable(seeds.select("node").distinct().withColumn("depth", F.lit(0)))
-    found_so_far = [(1, frontier)]  # (rounds in it, table)
-    rounds = 0
-    while not frontier.isEmpty():
-        if rounds == plain_rounds:
-            spread = _dealt(_union([single, *_shortcuts(edges, hot_edges)]), hot)
+    found_so_far = [(1, frontier)]  # (rounds in it, table), of nodes that edges may still lead to
+    settled = []  # tables of nodes that no edge leads to any more
+    rounds, due = 0, plain_rounds
+    new = unsettled = frontier.count()
+    while new:
+        if rounds == due:
+            tables = [table for _, table in found_so_far]
+            open_edges = spread.drop("_share")
+            if unsettled * WORTH >= open_edges.count():
+                last = frontier.agg(F.min("depth")).first()[0] + 1  # the fewest steps a later round can find
+                open_edges, done, found_so_far = _settle(open_edges, tables, last)
+                settled, unsettled = settled + done, 0
+            if rounds == plain_rounds:
+                single = durable(open_edges) if settled else open_edges
+                open_edges = _union([single, *_shortcuts(single, hot_edges)])
+            if rounds == plain_rounds or not unsettled:
+                spread = _dealt(open_edges, hot)
+            due = max(2 * rounds, PLAIN_ROUNDS)
         rounds += 1
         ahead = frontier.join(F.broadcast(hot), "node", "left").select("node", "depth", shares.alias("_share"))
         found = ahead.join(spread, ["node", "_share"]).select(F.col("next").alias("node"), (F.col("depth") + F.col("steps")).alias("depth"))
         found = found.groupBy("node").agg(F.min("depth").alias("depth"))
         frontier = durable(_nearer(found, [table for _, table in found_so_far]))
+        new = frontier.count()
+        unsettled += new
         found_so_far.append((1, frontier))
         while len(found_so_far) > 1 and found_so_far[-2][0] == found_so_far[-1][0]:
             (n, earlier), (_, later) = found_so_far[-2:]
             merged = earlier.unionByName(later)
             found_so_far[-2:] = [(2 * n, merged if n == 1 else durable_partitioned(merged, 1, "node"))]
-    everything = _union([table for _, table in found_so_far])
+    everything = _union([*settled, *[table for _, table in found_so_far]])
     return everything if rounds <= plain_rounds else everything.groupBy("node").agg(F.min("depth").alias("depth"))
 
 
+def _settle(
+    edges: DataFrame, tables: list[DataFrame], last: int
+) -> tuple[DataFrame, list[DataFrame], list[tuple[int, DataFrame]]]:
+    """The edges without those to nodes found at depth `last` or less; these nodes; the others that were found.
+
+    The nodes are one table in the join, which shuffles both sides, so that
+    AQE splits a node that very many edges lead to.
+    """
+    found = _union(tables)
+    near = found.where(F.col("depth") <= last)
+    far = durable(found.where(F.col("depth") > last))
+    left = edges.join(near.select(F.col("node").alias("next")), "next", "left_anti").select(*edges.columns)
+    return left, [near], [] if far.isEmpty() else [(1, far)]
+
+
 def _dealt(edges: DataFrame, hot: DataFrame) -> DataFrame:
     """The edges bucketed by node, those of hot nodes over their shares."""
     share = F.coalesce(F.pmod(F.xxhash64("next"), F.col("_shares")), F.lit(0)).cast("int")
@@ -201,6 +237,7 @@ FILE_REFERENCES = {
 
 def purged_rows(catalogue: Catalogue, ids: DataFrame) -> dict[str, DataFrame]:
     """Rows of each table that go when the given files go."""
+    ids = durable(ids.select("file_id").distinct())  # met once for every reference
     out = {}
     for table, columns in FILE_REFERENCES.items():
         if table not in catalogue:
@@ -208,7 +245,7 @@ def purged_rows(catalogue: Catalogue, ids: DataFrame) -> dict[str, DataFrame]:
         rows = getattr(catalogue, table)
         marked = rows
         for column in columns:
-            gone = ids.select(F.col("file_id").alias(column), F.lit(True).alias(f"_{column}")).distinct()
+            gone = ids.select(F.col("file_id").alias(column), F.lit(True).alias(f"_{column}"))
             marked = marked.join(gone, column, "left")
         hit = F.coalesce(*[F.col(f"_{c}") for c in columns], F.lit(False))
         out[table] = marked.where(hit).select(*rows.columns)
@@ -223,7 +260,7 @@ def purge(catalogue: Catalogue, ids: DataFrame, recursive: bool = False) -> tupl
     """
     gone = ids.select("file_id").distinct()
     if recursive:
-        gone = descendants(gone, catalogue.filefilelink).select("file_id")
+        gone = durable(descendants(gone, catalogue.filefilelink).select("file_id"))
     left = {}
     for table, columns in FILE_REFERENCES.items():
         if table not in catalogue:
