@@ -389,3 +389,53 @@ def test_existing_names_meet_by_what_stands_before_the_version(spark):
     files = {r.filename: r.file_id for r in c.file.collect()}
     assert got == sorted([(1, files["x1.0.0_20120101_v1.0.0_1.0.0"], True), (1, files["x1.0.0_20120101_v1.1.0_1.1.0"], True),
                           (2, files["p_20120101"], False)])
+
+
+def test_run_list_reads_its_plan_once_and_takes_the_first_of_equal_rows(spark, tmp_path):
+    schema = ("process_id bigint, day date, keywords string, version_bump smallint, code_id bigint, output_product bigint,"
+              "inputs array<bigint>, filename string, version string, data_level double, runnable boolean")
+    day = dt.date(2020, 1, 1)
+    rows = [
+        (1, day, "n=2", None, 1, 5, [1], "b", "1", 2.0, True), (1, day, "n=1", None, 1, 5, [1], "b", "1", 2.0, True),
+        (4, day, "n=2", None, 1, 6, [1], None, "1", 1.0, True), (4, day, "n=1", None, 1, 6, [1], None, "1", 1.0, True),
+        (4, day, None, None, 1, 6, [2], None, "1", 1.0, True),
+    ]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "plan"))
+    runs = reprocess.run_list(spark.read.parquet(str(tmp_path / "plan")))
+    assert sorted((r.filename or "", r.keywords or "", r.inputs) for r in runs.collect()) == [
+        ("", "", [2]), ("", "n=1", [1]), ("b", "n=1", [1])]
+    assert runs._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
+
+
+def test_names_take_apart_only_keywords_that_may_fill_them(spark):
+    s = Small()
+    forms = ["{PRODUCT}_{Y:04d}{m}_{nnn}_v{VERSION}", "a{Y}{j}_{b}_{INSTRUMENT}", "plain", "{a{k}_{DATE}", "{}_{d}"]
+    for n, form in enumerate(forms, 1):
+        out = s.product(f"out{n}", form=form)
+        s.process(f"make {n}", out)
+    c = s.catalogue(spark)
+    words = [["nnn=2"], ["nnn=1", "nnn=3"], ["other=1"], [None, "nnn=2"], ["Y=7 m=8"], ["a{k=5"], ["=6"], ["PRODUCT={Y}"], []]
+    rows = [(p, dt.date(2012, 3, 4), None, None, "DAILY", None, [1], w) for p in range(1, 6) for w in words]
+    plan = spark.createDataFrame(
+        rows, "process_id bigint, day date, keywords string, version_bump smallint, timebase string, reason string, "
+              "inputs array<bigint>, input_keywords array<string>")
+    named = reprocess.with_output(c, plan)
+    got = {(r.process_id, tuple(r.input_keywords)): r.name_template for r in named.collect()}
+
+    def expected(form, given, product):
+        filled = {}
+        if None not in given:
+            for text in given:
+                for word in text.split():
+                    filled[word.split("=")[0]] = word.split("=")[1]
+        for k, v in filled.items():
+            form = form.replace("{" + k + "}", v)
+        for k, v in {"PRODUCT": product, "INSTRUMENT": "camera", "Y": "2012", "Y:04d": "2012", "m": "03", "b": "Mar",
+                     "d": "04", "j": "064", "DATE": "20120304"}.items():
+            form = form.replace("{" + k + "}", v)
+        return form
+
+    assert got == {(p, tuple(w)): expected(forms[p - 1], w, f"out{p}") for p in range(1, 6) for w in words}
+    # What hangs on the product alone is filled before its rows are joined.
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan and plan.index("AS name_template") < plan.index("AS _named")

@@ -27,7 +27,6 @@ from tidemark.functions.templates import date_fields, fill
 from tidemark.functions.text import basename, join_path, keyword_map, merge_keywords
 from tidemark.functions.version import (
     PARTS,
-    apply_difference,
     format_version,
     next_version,
     version,
@@ -299,6 +298,13 @@ def with_output(catalogue: Catalogue, plan: DataFrame) -> DataFrame:
         .withColumnRenamed("level", "data_level")
         .drop("_chains")
     )
+    names = {
+        "SATELLITE": F.col("satellite_name"), "PRODUCT": F.col("product_name"), "INSTRUMENT": F.col("instrument_name"),
+    }
+    # What hangs on the product alone is worked out once per product.
+    product = product.withColumns({
+        "_fields": F.regexp_extract_all("format", F.lit(r"\{([^{}]*)\}"), F.lit(1)), "_named": fill(F.col("format"), names),
+    })
     process = catalogue.process.select("process_id", "process_name", "output_product")
     rows = plan.join(process, "process_id").join(product, "output_product", "left")
     run = F.col("timebase") == "RUN"
@@ -311,10 +317,11 @@ def with_output(catalogue: Catalogue, plan: DataFrame) -> DataFrame:
         F.col("format"),
         lambda text, kv: F.replace(text, F.concat(F.lit("{"), kv["key"], F.lit("}")), kv["value"]),
     )
-    rows = rows.withColumn("_template", by_keyword)
+    # Keywords are taken apart only where one may name a field of the template, days written only as the template asks.
+    may_fill = F.exists("input_keywords", lambda k: k.contains("{") | k.contains("}") | F.exists("_fields", lambda f: k.contains(f)))
+    rows = rows.withColumn("_template", F.when(may_fill, fill(by_keyword, names)).otherwise(F.col("_named")))
     named = fill(F.col("_template"), {
-        "SATELLITE": F.col("satellite_name"), "PRODUCT": F.col("product_name"),
-        "INSTRUMENT": F.col("instrument_name"), **date_fields(F.col("day")),
+        field: F.when(F.col("_template").contains("{" + field), text) for field, text in date_fields(F.col("day")).items()
     })
     run_name = F.concat(
         F.lit("RUN_"), "process_name", F.lit("_"), F.coalesce(F.array_min("inputs").cast("string"), F.lit("none")))
@@ -351,10 +358,19 @@ def existing_outputs(catalogue: Catalogue, plan: DataFrame) -> DataFrame:
     places = F.filter(
         F.sequence(F.lit(1), F.greatest(F.length("filename"), F.lit(1))),
         lambda i: F.substring(F.col("filename"), i, F.length("_text")) == F.col("_text"))
-    keys = F.concat(
-        F.transform(places, lambda i: F.struct(F.lit(True).alias("open"), F.substring(F.col("filename"), F.lit(1), i - 1).alias("key"))),
-        F.array(F.struct(F.lit(False).alias("open"), F.col("filename").alias("key"))))
-    listed = files.withColumn("_at", F.explode(keys))
+    def before(i: Column) -> Column:
+        return F.struct(F.lit(True).alias("open"), F.substring(F.col("filename"), F.lit(1), i - 1).alias("key"))
+
+    whole = F.struct(F.lit(False).alias("open"), F.col("filename").alias("key"))
+    # Most names hold their version once; only others are searched place by place.
+    first, second = F.col("_place"), F.position(F.col("_text"), F.col("filename"), F.col("_place") + 1)
+    keys = (
+        F.when(first == 0, F.array(whole))
+        .when(second == 0, F.array(before(first), whole))
+        .otherwise(F.concat(F.transform(places, before), F.array(whole)))
+    )
+    files = files.withColumn("_place", F.position(F.col("_text"), F.col("filename"))).withColumn("_keys", keys)
+    listed = files.withColumn("_at", F.explode("_keys")).drop("_place", "_keys")
     same = (
         (F.col("output_product") == F.col("product_id")) & (F.col("day") == F.col("utc_file_date"))
         & (F.col("_key") == F.col("_at.key")) & (F.col("_open") == F.col("_at.open"))
@@ -423,38 +439,40 @@ def output_steps(catalogue: Catalogue, plan: DataFrame, existing: DataFrame) ->
         .join(made, "file_id", "left")
         .join(parent_changes(catalogue, ids), "file_id", "left")
     )
-    current = F.col("version")
     change = version_difference(F.col("code_version"), F.col("_old_version"))
     any_up = (change["quality"] > 0) | (change["revision"] > 0)
-    none = F.lit(None).cast("struct<interface:int,quality:int,revision:int>")
+    other_code = ~F.col("_code").eqNullSafe(F.col("_made_by"))
 
-    def go(to: Column) -> Column:
-        return F.struct(to.alias("next"), F.lit(None).cast("string").alias("outcome"))
+    def go(part) -> Column:
+        part = part if isinstance(part, Column) else F.lit(part)
+        return F.struct(part.cast("smallint").alias("part"), F.lit(None).cast("string").alias("outcome"))
 
     def stop(word: str) -> Column:
-        return F.struct(none.alias("next"), F.lit(word).alias("outcome"))
+        return F.struct(F.lit(None).cast("smallint").alias("part"), F.lit(word).alias("outcome"))
 
-    other_code = ~F.col("_code").eqNullSafe(F.col("_made_by"))
+    # The part to raise first and the version from it: a version built in every branch makes code too long to be compiled.
     step = (
-        F.when(F.col("version_bump").isNotNull(), go(next_version(current, F.col("version_bump"))))
+        F.when(F.col("version_bump").isNotNull(), go(F.col("version_bump")))
         .when(F.col("_old_version").isNull(), stop("error: code of existing output unknown"))
         .when(other_code & (F.col("_old_version") == F.col("code_version")), stop("error: two codes of one version"))
-        .when(other_code & (change["interface"] != 0), go(next_version(current, 1)))
-        .when(other_code & any_up, go(apply_difference(current, change)))
+        .when(other_code & (change["interface"] != 0), go(1))
+        .when(other_code & any_up, go(F.when(change["quality"] > 0, 1).otherwise(2)))
         .when(other_code, stop("error: code is older than that of the existing output"))
         .when(F.col("_inputs") == 0, stop("up to date"))
         .when(F.col("n_parents").isNull(), stop("no parents"))
-        .when(F.col("n_parents") != F.col("_inputs"), go(next_version(current, 1)))
-        .when(F.col("changed") == 1, go(next_version(current, 1)))
-        .when(F.col("changed") == 2, go(next_version(current, 2)))
+        .when(F.col("n_parents") != F.col("_inputs"), go(1))
+        .when(F.col("changed") == 1, go(1))
+        .when(F.col("changed") == 2, go(2))
         .otherwise(stop("up to date"))
     )
-    stepped = rows.select(*KEY, "version", "versioned", step.alias("_step"))
-    endless = ~F.col("versioned") & F.col("_step.next").isNotNull()
+    stepped = rows.select(*KEY, "version", "versioned", step.alias("_step")).select(
+        *KEY, "version", "versioned", F.col("_step.outcome").alias("_outcome"),
+        next_version(F.col("version"), F.col("_step.part")).alias("_next"))
+    endless = ~F.col("versioned") & F.col("_next").isNotNull()
     return stepped.select(
         *KEY, "version",
-        F.when(~endless, F.col("_step.next")).alias("next"),
-        F.when(endless, F.lit("error: name carries no version")).otherwise(F.col("_step.outcome")).alias("outcome"),
+        F.when(~endless, F.col("_next")).alias("next"),
+        F.when(endless, F.lit("error: name carries no version")).otherwise(F.col("_outcome")).alias("outcome"),
     )
 
 
@@ -543,15 +561,14 @@ def with_arguments(catalogue: Catalogue, plan: DataFrame, root: str, code_root:
 
 def run_list(plan: DataFrame) -> DataFrame:
     """Runnable rows, equal ones once and each output name once, in (level, name) order."""
-    runnable = plan.where("runnable")
     equal = ["process_id", "day", "code_id", "output_product", "inputs", "filename", "version"]
-    once = runnable.dropDuplicates(equal)
     order = ["data_level", "day", "process_id", F.col("keywords").asc_nulls_first(),
              F.col("version_bump").asc_nulls_first()]
     name = basename(F.col("filename"))
     blank = F.coalesce(name == "", F.lit(True))
-    named = first_seen(once.where(~blank).withColumn("_name", name), ["_name"], order).drop("_name")
-    return named.unionByName(once.where(blank)).orderBy("data_level", "filename")
+    # Equal rows have equal names, so one pass does both; rows without a name are told apart by the rest.
+    keyed = plan.where("runnable").withColumns({"_name": name, "_equal": F.when(blank, F.struct(*equal))})
+    return first_seen(keyed, ["_name", "_equal"], order).drop("_name", "_equal").orderBy("data_level", "filename")
 
 
 def commands(runs: DataFrame, paths: DataFrame, out_dir: str) -> DataFrame:
